@@ -72,9 +72,14 @@ def require_columns(df: DataFrame, names) -> DataFrame:
     return df
 
 
+def base_name(c: Column) -> Column:
+    """Last part of a path."""
+    return F.substring_index(c, "/", -1)
+
+
 def plain_file_name(c: Column) -> Column:
-    """File name without underscores; the input files keep theirs."""
-    return F.translate(c, "_", "")
+    """File name without folders and underscores; the input files keep theirs."""
+    return F.translate(base_name(c), "_", "")
 
 
 def file_period(c: Column) -> Column:

@@ -178,7 +178,7 @@ def get_balance_sheets(
     members = expand_archives(file_payloads(spark, path, ZIP_GLOB)).select("archive", "member", "error")
     members = settle(members)
     landed = files.unionByName(
-        members.where("error IS NULL").select(F.element_at(F.split("member", "/"), -1).alias("file_name"))
+        members.where("error IS NULL").select(F.substring_index("member", "/", -1).alias("file_name"))
     )
     # a damaged archive stands for the file of its own name
     damaged = bad_archives(members).withColumn(

@@ -19,7 +19,7 @@ from finfilings.sources.delimited import (
     parse_lines_by_name,
     reject_lines,
 )
-from finfilings.sources.landing import INSTITUTION_FILES, file_lines, file_payloads, institution_files
+from finfilings.sources.landing import BALANCE_GLOB, file_lines, file_payloads, institution_files
 from finfilings.sources.workbooks import bad_workbooks, sheet_lines, usable_sheets
 
 
@@ -56,8 +56,8 @@ def institution_lines(
 ) -> tuple[DataFrame, DataFrame]:
     """Lines of every list below a folder and the workbooks that could not be read."""
     flag = "(?i)" if ignore_case else ""
-    csv_lines = file_lines(spark, path, recursive=True, charset=charset)
-    csv_lines = csv_lines.where(F.col("file_name").rlike(flag + r"\.csv$"))
+    csv_glob = BALANCE_GLOB if ignore_case else "*.csv"
+    csv_lines = file_lines(spark, path, csv_glob, recursive=True, charset=charset)
     books = file_payloads(spark, path, recursive=True)
     sheets = sheet_lines(books.where(F.col("file_name").rlike(flag + r"\.(xlsx|xls)$")))
     sheet_rows = usable_sheets(sheets).withColumn(

@@ -74,7 +74,7 @@ def usable_members(members: DataFrame) -> DataFrame:
     """Members as payloads for the readers."""
     from pyspark.sql import functions as F
 
-    name = F.element_at(F.split("member", "/"), -1)
+    name = F.substring_index("member", "/", -1)
     return members.where("error IS NULL").select(name.alias("file_name"), "content")
 
 

@@ -113,10 +113,14 @@ def is_header(line: Column, layout: Layout) -> Column:
     if layout.marks:
         tokens = header_tokens(line, layout.sep)
         for mark in layout.marks:
-            ok = ok & F.exists(tokens, lambda t, mark=mark: t.rlike(mark))
+            ok = ok & F.exists(tokens, _matches(mark))
     return ok
 
 
+def _matches(pattern: str):
+    return lambda t: t.rlike(pattern)
+
+
 def header_names(tokens: Column, layout: Layout) -> Column:
     """Upper-case column names of a header after renaming."""
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.functions.names import plain_file_name
+from finfilings.functions.names import base_name, plain_file_name
 from finfilings.functions.values import decode_bytes
 
 #: Up to this size a file is one row; above it is read as lines.
@@ -30,16 +30,19 @@ def file_payloads(
     max_bytes: int | None = None,
 ) -> DataFrame:
     """One row per file.  The size bound is pushed to the source, so the content of
-    larger files is never read here."""
+    larger files is never read here.
+
+    ``file_name`` tells files apart: below one folder it is the name, in a recursive
+    listing, where names may repeat, the whole path.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
     if max_bytes is not None:
         files = files.where(F.col("length") <= max_bytes)
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", "length", "content"
-    )
+    name = F.col("path") if recursive else base_name(F.col("path"))
+    return files.select(name.alias("file_name"), "path", "length", "content")
 
 
 def file_lines(
@@ -63,7 +66,7 @@ def file_lines(
     if above_bytes is not None:
         lines = lines.where(F.col("_metadata.file_size") > above_bytes)
     return lines.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_path" if recursive else "_metadata.file_name").alias("file_name"),
         F.struct(
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("row"),

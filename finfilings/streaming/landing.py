@@ -28,7 +28,7 @@ def payload_stream(
         .option("maxFilesPerTrigger", files_per_batch)
         .load(path)
     )
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "content")
+    return files.select(F.substring_index("path", "/", -1).alias("file_name"), "content")
 
 
 def stream_balances(
