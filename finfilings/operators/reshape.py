@@ -96,11 +96,12 @@ def _pivot_copies(df, ids, names_from, values_from, values, names):
     cell = [*ids, names_from]
     distinct = df.groupBy(*cell, values_from).agg(F.count("*").alias("_n"))
     numbered = number_rows(distinct, [*cell, values_from], "_row")
-    first = numbered.groupBy(*cell).agg(F.min("_row").alias("_first"))
-    same = [numbered[c].eqNullSafe(first[c]) for c in cell]
+    first = numbered.groupBy(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(cell)]).agg(
+        F.min("_row").alias("_first")
+    )
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(cell)]
     placed = numbered.join(first, same).select(
-        *[numbered[c] for c in [*cell, values_from, "_n"]],
-        (F.col("_row") - F.col("_first") + 1).alias("copy"),
+        *cell, values_from, "_n", (F.col("_row") - F.col("_first") + 1).alias("copy")
     )
     cells = []
     for v, n in zip(values, names):
