@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.base import as_double, lines_with_head, money, money_text, month_text, payload_of, query, table
+from checks.base import as_double, lines_with_head, money, money_text, month_text, payload_of, query, spread, table
 from finfilings.functions.values import decode_bytes, parse_decimal
 from finfilings.operators.reshape import pivot_wide
 from finfilings.plans.balances import balances_from_lines, balances_from_payloads
-from finfilings.plans.institutions import institutions_from_lines, tidy_rows
+from finfilings.plans.institutions import institutions_from_lines
 from finfilings.session import settle
 from finfilings.sources.archives import expand_archive_lines, expand_archives
 from finfilings.sources.delimited import (
     BALANCES,
-    INSTITUTIONS,
     Layout,
     find_headers,
     parse_lines,
@@ -43,7 +42,7 @@ TYPE_OF_STATUS = {"F": "BANCOS", "O": "COOPERATIVAS"}
 
 def filing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem printed as monthly balance sheets of two institution types."""
-    items = table(spark, sf_dir, "lineitem")
+    items = spread(table(spark, sf_dir, "lineitem"))
     month = month_text(F.col("l_shipdate"))
     line = F.concat_ws(
         ";",

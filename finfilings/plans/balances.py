@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.functions.names import file_period, file_type, plain_file_name
+from finfilings.functions.names import file_type, plain_file_name
 from finfilings.functions.periods import ref_month
 from finfilings.functions.values import pad_cnpj, parse_decimal, parse_integer
 from finfilings.operators.audit import landing_report
@@ -46,12 +46,16 @@ REQUIRED = tuple(COLUMNS.values())
 ZIP_GLOB = "*.[zZ][iI][pP]"
 
 
+def _per_file() -> dict:
+    """Type of a file; files without a conforming name give no rows."""
+    return {"inst_type": file_type(plain_file_name(F.col("file_name")))}
+
+
 def type_rows(rows: DataFrame) -> DataFrame:
-    """Text rows of the reader with their types and the type of their file."""
-    plain = plain_file_name(F.col("file_name"))
+    """Text rows of the reader with their types."""
     return rows.select(
         "file_name",
-        file_type(plain).alias("inst_type"),
+        "inst_type",
         "data",
         ref_month(F.col("data")).alias("ref_month"),
         parse_integer(F.col("documento")).alias("documento"),
@@ -59,19 +63,19 @@ def type_rows(rows: DataFrame) -> DataFrame:
         "nome_instituicao",
         "conta",
         parse_decimal(F.col("saldo")).alias("saldo"),
-    ).where(F.col("inst_type").isNotNull())
+    )
 
 
 def balances_from_payloads(payloads: DataFrame) -> DataFrame:
     """Long balances from one-row-per-file payloads; also runs on a stream."""
-    return type_rows(parse_payloads(payloads, BALANCES, COLUMNS))
+    return type_rows(parse_payloads(payloads, BALANCES, COLUMNS, _per_file()))
 
 
 def balances_from_lines(lines: DataFrame, document: int | None = None, headers: DataFrame | None = None) -> DataFrame:
     """Long balances from a line table.  With a document number, lines that do not even
     contain its digits are passed over before they are split."""
     holding = None if document is None else str(document)
-    rows = type_rows(parse_lines(lines, BALANCES, COLUMNS, headers, holding))
+    rows = type_rows(parse_lines(lines, BALANCES, COLUMNS, headers, _per_file(), holding))
     return rows if document is None else filter_document(rows, document)
 
 

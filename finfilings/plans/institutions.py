@@ -28,27 +28,23 @@ def drop_footnotes(df: DataFrame, name: str = "cnpj") -> DataFrame:
     return df.where(~is_footnote(F.col(name)))
 
 
+def _per_file() -> dict:
+    """Institution and month of a list; lists without a conforming name give no rows."""
+    name = plain_file_name(F.col("file_name"))
+    return {"institution": file_type(name), "data": file_period(name)}
+
+
 def tidy_rows(rows: DataFrame) -> DataFrame:
-    """Footnotes out, company number as number and digits, type and month of the file."""
+    """Footnotes out, company number as number and as digits."""
     if "cnpj" not in rows.columns:
         raise ValueError("missing required columns: cnpj")
-    kept = drop_footnotes(rows)
-    name = plain_file_name(F.col("file_name"))
-    return kept.withColumns(
-        {
-            "institution": file_type(name),
-            "data": file_period(name),
-            "cnpj_num": cnpj_number(F.col("cnpj")),
-            "cnpj": cnpj_digits(F.col("cnpj")),
-        }
-    )
+    cnpj = F.col("cnpj")
+    return drop_footnotes(rows).withColumns({"cnpj_num": cnpj_number(cnpj), "cnpj": cnpj_digits(cnpj)})
 
 
 def institutions_from_lines(lines: DataFrame, headers: DataFrame | None = None) -> DataFrame:
-    """All columns of all lists, united by name; files whose names do not start with a
-    period give no rows."""
-    rows = parse_lines_by_name(lines, INSTITUTIONS, headers)
-    return tidy_rows(rows.where(file_type(plain_file_name(F.col("file_name"))).isNotNull()))
+    """All columns of all lists, united by name."""
+    return tidy_rows(parse_lines_by_name(lines, INSTITUTIONS, headers, _per_file()))
 
 
 def institution_lines(

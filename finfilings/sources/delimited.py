@@ -65,29 +65,26 @@ def guess_sep(line: Column) -> Column:
     return F.when(line.contains(";"), ";").when(line.contains(","), ",").otherwise(" ")
 
 
-_QUOTED = r'"[^"]*(?:""[^"]*)*"'
-
-
 def _cells(line: Column, sep: str) -> Column:
-    """Cells of a line for one separator.  Lines without quotes are split plainly."""
+    """Cells of a line for one separator.
+
+    Lines without quotes are split plainly.  For the others the pattern takes the
+    inside of a quoted cell, or else everything up to the separator; it is possessive,
+    so that the engine never goes back into a cell it has passed.
+    """
     if sep == " ":
         plain = F.split(F.trim(line), r"\s+")
         padded = F.concat(F.trim(line), F.lit(" "))
-        pattern = rf"({_QUOTED}|\S+)\s+"
+        blank, inner, end = "", r"\S*+", r"\s++"
     else:
         mark = re.escape(sep)
         plain = F.split(line, mark)
         padded = F.concat(line, F.lit(sep))
-        pattern = rf"[ \t]*({_QUOTED}|[^{mark}]*?)[ \t]*{mark}"
-    found = F.regexp_extract_all(padded, F.lit(pattern), F.lit(1))
-    unquoted = F.transform(
-        found,
-        lambda t: F.when(
-            t.startswith('"') & t.endswith('"') & (F.length(t) >= 2),
-            F.replace(F.substr(t, F.lit(2), F.length(t) - 2), F.lit('""'), F.lit('"')),
-        ).otherwise(t),
-    )
-    return F.when(line.contains('"'), unquoted).otherwise(plain)
+        blank, inner, end = r"[ \t]*+", rf"[^{mark}]*+", mark
+    pattern = rf'{blank}"?+((?<=")[^"]*+(?:""[^"]*+)*+(?="{blank}{end})|{inner})"?+{blank}{end}'
+    quoted = F.regexp_extract_all(padded, F.lit(pattern), F.lit(1))
+    doubled = F.transform(quoted, lambda c: F.replace(c, F.lit('""'), F.lit('"')))
+    return F.when(~line.contains('"'), plain).when(line.contains('""'), doubled).otherwise(quoted)
 
 
 def split_cells(line: Column, sep: Column | str) -> Column:
@@ -190,7 +187,7 @@ def _body_lines(df: DataFrame) -> DataFrame:
     start = F.call_function("instr", framed_text, framed_head) + F.length("header") + 1
     body = F.substr(F.col("text"), start)
     keep = [c for c in df.columns if c not in ("text", "header")]
-    return df.select(*keep, F.explode(F.split(body, "\n")).alias("line")).where(F.trim("line") != "")
+    return df.select(*keep, F.explode(F.split(body, "\n")).alias("line"))
 
 
 # --- readers --------------------------------------------------------------------------
@@ -206,22 +203,45 @@ def _positions(columns) -> Column:
     )
 
 
-def _read_cells(df: DataFrame, columns, sep: str | None) -> DataFrame:
-    cells = df.select("file_name", "at", split_cells(F.col("line"), sep or F.col("sep")).alias("cells"))
-    return cells.select(
-        "file_name",
-        *[null_text(F.get("cells", F.col(f"at.{target}") - 1)).alias(target) for target in columns],
-    )
+def _read_cells(df: DataFrame, per_file, columns, sep: str | None) -> DataFrame:
+    """Split each line once and pick the wanted cells.
+
+    The generator keeps filters on cells from splitting the line again; blank lines go
+    after it, so that the test does not move below a table that prints its lines.
+    """
+    keep = ["file_name", *per_file]
+    cells = df.select(*keep, "at", F.explode(F.array(split_cells(F.col("line"), sep or F.col("sep")))).alias("cells"))
+    cells = cells.where((F.size("cells") > 1) | (F.trim(F.get("cells", F.lit(0))) != ""))
+    return cells.select(*keep, *[null_text(F.get("cells", at)).alias(name) for name, at in columns.items()])
+
+
+def _by_position(columns) -> dict[str, Column]:
+    return {target: F.col(f"at.{target}") - 1 for target in columns}
+
 
+def _whole_files(heads: DataFrame, per_file) -> DataFrame:
+    """Add columns computed once per file; files for which one is NULL drop out.
 
-def parse_payloads(payloads: DataFrame, layout: Layout, columns: dict[str, str]) -> DataFrame:
+    They drop out through a generator: a plain filter would be inferred across the
+    join and then run on every line.
+    """
+    for name, value in per_file.items():
+        heads = heads.select("*", F.explode(F.array_compact(F.array(value))).alias(name))
+    return heads
+
+
+def parse_payloads(
+    payloads: DataFrame, layout: Layout, columns: dict[str, str], per_file: dict[str, Column] | None = None
+) -> DataFrame:
     """Rows of one-row-per-file payloads, as text columns.
 
-    ``columns`` maps output names to header names (upper case, after renaming).
+    ``columns`` maps output names to header names (upper case, after renaming);
+    ``per_file`` adds columns computed from ``file_name`` once per file.
     """
-    heads = payload_headers(payloads, layout)
-    heads = heads.select("file_name", "text", "header", "sep", _positions(columns).alias("at"))
-    return _read_cells(_body_lines(heads), columns, layout.sep)
+    per_file = per_file or {}
+    heads = _whole_files(payload_headers(payloads, layout), per_file)
+    heads = heads.select("file_name", *per_file, "text", "header", "sep", _positions(columns).alias("at"))
+    return _read_cells(_body_lines(heads), per_file, _by_position(columns), layout.sep)
 
 
 def parse_lines(
@@ -229,6 +249,7 @@ def parse_lines(
     layout: Layout,
     columns: dict[str, str],
     headers: DataFrame | None = None,
+    per_file: dict[str, Column] | None = None,
     holding: str | None = None,
 ) -> DataFrame:
     """Rows of a line table, as text columns.
@@ -236,14 +257,14 @@ def parse_lines(
     ``headers`` takes a settled result of :func:`find_headers`.  ``holding`` is a text
     that wanted lines are known to contain; others are passed over before they are split.
     """
+    per_file = per_file or {}
     if headers is None:
         headers = settle(find_headers(lines, layout))
-    heads = small_side(headers.select("file_name", "header_pos", "sep", _positions(columns).alias("at")))
-    body = lines.where(F.trim("line") != "")
-    if holding:
-        body = body.where(F.col("line").contains(holding))
+    heads = _whole_files(headers, per_file)
+    heads = small_side(heads.select("file_name", *per_file, "header_pos", "sep", _positions(columns).alias("at")))
+    body = lines.where(F.col("line").contains(holding)) if holding else lines
     body = body.join(heads, "file_name").where(F.col("pos") > F.col("header_pos"))
-    return _read_cells(body, columns, layout.sep)
+    return _read_cells(body, per_file, _by_position(columns), layout.sep)
 
 
 def _layout_map(headers: DataFrame, max_layouts: int):
@@ -272,33 +293,41 @@ def _layout_map(headers: DataFrame, max_layouts: int):
     return union, table
 
 
-def _read_union(df: DataFrame, union, sep: str | None) -> DataFrame:
-    cells = df.select("file_name", "at", split_cells(F.col("line"), sep or F.col("sep")).alias("cells"))
-    return cells.select(
-        "file_name",
-        *[null_text(F.get("cells", F.get("at", i))).alias(name) for i, name in enumerate(union)],
-    )
+def _by_union(union) -> dict[str, Column]:
+    return {name: F.get("at", F.lit(i)) for i, name in enumerate(union)}
 
 
 def parse_lines_by_name(
-    lines: DataFrame, layout: Layout, headers: DataFrame | None = None, max_layouts: int = 10_000
+    lines: DataFrame,
+    layout: Layout,
+    headers: DataFrame | None = None,
+    per_file: dict[str, Column] | None = None,
+    max_layouts: int = 10_000,
 ) -> DataFrame:
     """Like :func:`parse_lines` with every column any file has, names cleaned, in
     first-seen order."""
+    per_file = per_file or {}
     if headers is None:
         headers = settle(find_headers(lines, layout))
-    union, table = _layout_map(headers, max_layouts)
-    heads = small_side(headers.join(small_side(table), "names").select("file_name", "header_pos", "sep", "at"))
-    body = lines.where(F.trim("line") != "").join(heads, "file_name").where(F.col("pos") > F.col("header_pos"))
-    return _read_union(body, union, layout.sep)
+    heads = _whole_files(headers, per_file)
+    union, table = _layout_map(heads, max_layouts)
+    heads = small_side(
+        heads.join(small_side(table), "names").select("file_name", *per_file, "header_pos", "sep", "at")
+    )
+    body = lines.join(heads, "file_name").where(F.col("pos") > F.col("header_pos"))
+    return _read_cells(body, per_file, _by_union(union), layout.sep)
 
 
-def parse_payloads_by_name(payloads: DataFrame, layout: Layout, max_layouts: int = 10_000) -> DataFrame:
+def parse_payloads_by_name(
+    payloads: DataFrame, layout: Layout, per_file: dict[str, Column] | None = None, max_layouts: int = 10_000
+) -> DataFrame:
     """Like :func:`parse_payloads` with every column any file has."""
-    heads = payload_headers(payloads, layout)
+    per_file = per_file or {}
+    heads = _whole_files(payload_headers(payloads, layout), per_file)
     union, table = _layout_map(heads.select("file_name", "names"), max_layouts)
-    heads = heads.join(small_side(table), "names").select("file_name", "text", "header", "sep", "at")
-    return _read_union(_body_lines(heads), union, layout.sep)
+    heads = heads.join(small_side(table), "names")
+    heads = heads.select("file_name", *per_file, "text", "header", "sep", "at")
+    return _read_cells(_body_lines(heads), per_file, _by_union(union), layout.sep)
 
 
 # --- rejects ------------------------------------------------------------------------------
