@@ -42,7 +42,7 @@ TYPE_OF_STATUS = {"F": "BANCOS", "O": "COOPERATIVAS"}
 
 def filing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem printed as monthly balance sheets of two institution types."""
-    items = spread(table(spark, sf_dir, "lineitem"))
+    items = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_extendedprice")
     month = month_text(F.col("l_shipdate"))
     line = F.concat_ws(
         ";",
@@ -140,7 +140,7 @@ def _typed_orders(rows: DataFrame) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     line = F.concat_ws(
         ";", F.col("o_orderkey").cast("string"), "o_orderstatus", money_text(F.col("o_totalprice")),
         F.concat(F.lit('"'), "o_orderpriority", F.lit('"')),
@@ -161,7 +161,7 @@ def sniff_roundtrip_semicolon(spark, sf_dir):
 
 def order_payloads(spark, sf_dir, sep: str, head: list[str]) -> DataFrame:
     """Each order as a file: banners, header, one row."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     cells = [
         F.col("o_orderkey").cast("string"), F.col("o_orderstatus"), money(F.col("o_totalprice")).cast("string"),
         F.concat(F.lit('"'), "o_orderpriority", F.lit('"')),
@@ -474,7 +474,7 @@ def _zipped(rows: DataFrame) -> DataFrame:
 
 
 def _document_archives(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     return _zipped(
         docs.select(
             F.concat(F.col("doc_id").cast("string"), F.lit(".zip")).alias("file_name"), "text", "lang",

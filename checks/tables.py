@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.base import as_double, lines_with_head, money, month_text, query, table
+from checks.base import as_double, lines_with_head, money, month_text, query, spread, table
 from finfilings.functions import names, periods, text, values
 from finfilings.operators import acts, audit, grids, reshape
 from finfilings.plans.institutions import drop_footnotes
@@ -755,7 +755,7 @@ def act_text_join(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").cast("string").alias("NumeroOWSNMBR"), F.lit("Comunicado").alias("TipodoNormativoOWSCHCS"), "doc_id", F.col("quality").cast("bigint").alias("quality")
     )
-    docs = table(spark, sf_dir, "documents").where(~F.col("text").contains("<") & ~F.col("text").contains("&"))
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id").where(~F.col("text").contains("<") & ~F.col("text").contains("&"))
     body = F.to_json(F.struct(F.array(F.struct(
         F.concat(F.lit("<p>"), "source", F.lit("</p>")).alias("Assunto"), F.concat(F.lit("<div>"), "text", F.lit("\n</div><!-- c -->")).alias("Texto"),
     )).alias("conteudo")))
@@ -773,7 +773,7 @@ def _csv_cell(c):
 
 
 def value_lines(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem")
+    items = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_extendedprice")
     cells = [
         F.col("l_linenumber").cast("string"), F.col("l_suppkey").cast("string"), month_text(F.col("l_shipdate")),
         _csv_cell(F.concat(F.lit("Report, "), "l_returnflag")), F.col("l_returnflag"), F.lit(""), F.col("l_partkey").cast("string"),

@@ -7,13 +7,18 @@ themselves are left alone.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MEMBERS = "archive string, member string, content binary, error string"
 LINES = "archive string, file_name string, pos bigint, raw binary, error string"
 
 
-def expand_archives(payloads: DataFrame) -> DataFrame:
-    """Members of each archive (``file_name, content``), one row per member."""
+def expand_archives(payloads: DataFrame, batch_bytes: int = 8 * 1024 * 1024) -> DataFrame:
+    """Members of each archive (``file_name, content``), one row per member.
+
+    Members leave in batches of about ``batch_bytes``; a larger one is a batch of its
+    own.  For members too large to be one row see :func:`expand_archive_lines`.
+    """
 
     def members(batches):
         import io
@@ -22,17 +27,24 @@ def expand_archives(payloads: DataFrame) -> DataFrame:
         import pandas as pd
 
         columns = ["archive", "member", "content", "error"]
+        rows, held = [], 0
         for batch in batches:
             for archive, content in zip(batch["file_name"], batch["content"]):
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as bundle:
                         for info in bundle.infolist():
-                            if not info.is_dir():
-                                row = (archive, info.filename, bundle.read(info), None)
-                                yield pd.DataFrame([row], columns=columns)
+                            if info.is_dir():
+                                continue
+                            data = bundle.read(info)
+                            rows.append((archive, info.filename, data, None))
+                            held += len(data)
+                            if held >= batch_bytes:
+                                yield pd.DataFrame(rows, columns=columns)
+                                rows, held = [], 0
                 except Exception as problem:
-                    row = (archive, None, None, f"{type(problem).__name__}: {problem}")
-                    yield pd.DataFrame([row], columns=columns)
+                    rows.append((archive, None, None, f"{type(problem).__name__}: {problem}"))
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
     return payloads.select("file_name", "content").mapInPandas(members, MEMBERS)
 
@@ -48,9 +60,9 @@ def expand_archive_lines(payloads: DataFrame, rows_per_batch: int = 20_000) -> D
         import pandas as pd
 
         columns = ["archive", "file_name", "pos", "raw", "error"]
+        rows = []
         for batch in batches:
             for archive, content in zip(batch["file_name"], batch["content"]):
-                rows = []
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as bundle:
                         for info in bundle.infolist():
@@ -64,22 +76,18 @@ def expand_archive_lines(payloads: DataFrame, rows_per_batch: int = 20_000) -> D
                                         rows = []
                 except Exception as problem:
                     rows.append((archive, None, None, None, f"{type(problem).__name__}: {problem}"))
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns)
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
     return payloads.select("file_name", "content").mapInPandas(lines, LINES)
 
 
 def usable_members(members: DataFrame) -> DataFrame:
     """Members as payloads for the readers."""
-    from pyspark.sql import functions as F
-
     name = F.substring_index("member", "/", -1)
     return members.where("error IS NULL").select(name.alias("file_name"), "content")
 
 
 def bad_archives(members: DataFrame) -> DataFrame:
     """Archives that could not be expanded: ``file_name, reason``."""
-    from pyspark.sql import functions as F
-
     return members.where("error IS NOT NULL").select(F.col("archive").alias("file_name"), F.col("error").alias("reason"))

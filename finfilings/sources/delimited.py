@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,16 +104,17 @@ def header_tokens(line: Column, sep: Column | str | None = None) -> Column:
     return F.transform(cells, lambda t: F.trim(F.regexp_replace(F.trim(t), "^[\"']|[\"']$", "")))
 
 
+def has_words(line: Column, layout: Layout) -> Column:
+    """Does the raw line hold every word of the layout?"""
+    return reduce(and_, [line.rlike("(?i)" + re.escape(word)) for word in layout.words])
+
+
 def is_header(line: Column, layout: Layout) -> Column:
     """Does the line carry every word and every mark of the layout?"""
-    ok = F.lit(True)
-    for word in layout.words:
-        ok = ok & line.rlike("(?i)" + re.escape(word))
-    if layout.marks:
-        tokens = header_tokens(line, layout.sep)
-        for mark in layout.marks:
-            ok = ok & F.exists(tokens, _matches(mark))
-    return ok
+    if not layout.marks:
+        return has_words(line, layout)
+    tokens = header_tokens(line, layout.sep)
+    return has_words(line, layout) & reduce(and_, [F.exists(tokens, _matches(m)) for m in layout.marks])
 
 
 def _matches(pattern: str):
@@ -138,12 +141,17 @@ def first_match(lines: Column, predicate) -> Column:
 # --- header tables ------------------------------------------------------------------
 
 
+def once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column behind a generator, so that Catalyst evaluates it once per row
+    however often it is used above."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def with_layout(df: DataFrame, layout: Layout) -> DataFrame:
     """Add separator and column names to rows holding a ``header`` line."""
-    sep = F.lit(layout.sep) if layout.sep else guess_sep(F.col("header"))
-    df = df.withColumn("sep", sep)
+    df = df.withColumn("sep", F.lit(layout.sep) if layout.sep else guess_sep(F.col("header")))
     tokens = header_tokens(F.col("header"), layout.sep or F.col("sep"))
-    return df.withColumn("names", header_names(tokens, layout))
+    return once(df, header_names(tokens, layout), "names")
 
 
 def find_headers(lines: DataFrame, layout: Layout) -> DataFrame:
@@ -152,7 +160,11 @@ def find_headers(lines: DataFrame, layout: Layout) -> DataFrame:
     Only lines that pass the header test reach the aggregate, so the shuffle moves a
     few rows per file whatever the files' sizes.
     """
-    hits = lines.where(is_header(F.col("line"), layout))
+    # the plain test stays in generated code; tokens are looked at behind a generator
+    near = lines.where(has_words(F.col("line"), layout))
+    hits = near.select(
+        "file_name", "pos", F.explode(F.filter(F.array("line"), lambda line: is_header(line, layout))).alias("line")
+    )
     first = hits.groupBy("file_name").agg(
         F.min(F.struct(F.col("pos").alias("header_pos"), F.col("line").alias("header"))).alias("h")
     )
@@ -210,7 +222,7 @@ def _read_cells(df: DataFrame, per_file, columns, sep: str | None) -> DataFrame:
     after it, so that the test does not move below a table that prints its lines.
     """
     keep = ["file_name", *per_file]
-    cells = df.select(*keep, "at", F.explode(F.array(split_cells(F.col("line"), sep or F.col("sep")))).alias("cells"))
+    cells = once(df, split_cells(F.col("line"), sep or F.col("sep")), "cells")
     cells = cells.where((F.size("cells") > 1) | (F.trim(F.get("cells", F.lit(0))) != ""))
     return cells.select(*keep, *[null_text(F.get("cells", at)).alias(name) for name, at in columns.items()])
 
@@ -346,8 +358,9 @@ def reject_payloads(payloads: DataFrame, layout: Layout, required=()) -> DataFra
     texts = payloads.select("file_name", _text(layout.charset).alias("text"))
     candidates = F.regexp_extract_all("text", F.lit(rf"(?im)^{lookaheads}[^\n]*"), F.lit(0))
     header = first_match(candidates, lambda line: is_header(line, layout))
-    rows = with_layout(texts.select("file_name", "text", header.alias("header")), layout)
-    reason = F.when(F.trim("text") == "", "empty file").otherwise(_missing(required))
+    texts = once(texts.select("file_name", header.alias("h"), (F.trim("text") == "").alias("empty")), F.col("h"), "header")
+    rows = with_layout(texts, layout)
+    reason = F.when(F.col("empty"), "empty file").otherwise(_missing(required))
     return rows.select("file_name", reason.alias("reason")).where("reason IS NOT NULL")
 
 

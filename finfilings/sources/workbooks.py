@@ -109,9 +109,9 @@ def sheet_lines(payloads: DataFrame, rows_per_batch: int = 5_000) -> DataFrame:
                         yield pos, as_line(values)
                         node.clear()
 
+        rows = []
         for batch in batches:
             for name, content in zip(batch["file_name"], batch["content"]):
-                rows = []
                 try:
                     for pos, line in sheet(content):
                         rows.append((name, pos, line, None))
@@ -120,8 +120,8 @@ def sheet_lines(payloads: DataFrame, rows_per_batch: int = 5_000) -> DataFrame:
                             rows = []
                 except Exception as problem:
                     rows.append((name, None, None, f"{type(problem).__name__}: {problem}"))
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns)
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
     return payloads.select("file_name", "content").mapInPandas(rows_of, SHEET)
 
