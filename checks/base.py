@@ -59,12 +59,12 @@ def lines_with_head(body: DataFrame, head_of: Callable[[], list], *keys: str) ->
     """
     files = body.select("file_name", *keys).distinct()
     head = files.select("file_name", F.posexplode(F.array(*head_of())).alias("pos", "line"))
-    return head.select("file_name", F.col("pos").cast("bigint"), "line").unionByName(
-        body.select("file_name", (F.col("pos") + 1_000).cast("bigint").alias("pos"), "line")
-    )
+    # behind a generator, as behind a scan, nothing moves into the printing of a line
+    printed = body.select("file_name", (F.col("pos") + 1_000).cast("bigint").alias("pos"), F.explode(F.array("line")).alias("line"))
+    return head.select("file_name", F.col("pos").cast("bigint"), "line").unionByName(printed)
 
 
 def payload_of(df: DataFrame, file_name: Column, lines: list[Column], charset: str = "ISO-8859-1", *keep: str) -> DataFrame:
     """Print each row as a file of its own."""
-    text = F.concat_ws("\n", *lines)
-    return df.select(file_name.alias("file_name"), F.encode(text, charset).alias("content"), *keep)
+    content = F.encode(F.concat_ws("\n", *lines), charset)
+    return df.select(file_name.alias("file_name"), F.explode(F.array(content)).alias("content"), *keep)

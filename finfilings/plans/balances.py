@@ -100,7 +100,10 @@ def _has_larger(spark, path, whole_file_bytes) -> bool:
 
 
 def balance_rejects(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """Files that give no rows, with the reason: ``file_name, reason``."""
+    """Files that give no rows, with the reason: ``file_name, reason``.
+
+    Spark scans pass over files of zero bytes; the landing report shows them as not landed.
+    """
     names = list_files(spark, path, BALANCE_GLOB)
     bad_name = names.where(file_type(plain_file_name(F.col("file_name"))).isNull())
     out = bad_name.select("file_name", F.lit("file name is not YYYYMM and a type").alias("reason"))

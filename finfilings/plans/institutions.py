@@ -101,14 +101,10 @@ def get_institutions(spark: SparkSession, path: str, institution, start_date, en
     grid = institution_grid(spark, institution, start_date, end_date)
     archives = file_payloads(spark, path, "*.[zZ][iI][pP]")
     members = settle(expand_archives(archives).select("archive", "error"))
-    unpacked = institution_files(spark, path, ignore_case=True).where(
-        F.col("file_name").rlike(r"^\d{6}")
-    ).select(
-        F.concat(
-            file_type(plain_file_name(F.col("file_name"))), F.lit("_"),
-            file_period(plain_file_name(F.col("file_name"))), F.lit(".zip"),
-        ).alias("file_name")
-    )
+    name = plain_file_name(F.col("file_name"))
+    archive = F.concat(file_type(name), F.lit("_"), file_period(name), F.lit(".zip"))
+    unpacked = institution_files(spark, path, ignore_case=True).select(archive.alias("file_name"))
+    unpacked = unpacked.where("file_name IS NOT NULL")
     landed = members.select(F.col("archive").alias("file_name")).distinct().unionByName(unpacked)
     damaged = members.where("error IS NOT NULL").select(
         F.col("archive").alias("file_name"), F.col("error").alias("reason")

@@ -358,7 +358,7 @@ def reject_payloads(payloads: DataFrame, layout: Layout, required=()) -> DataFra
     texts = payloads.select("file_name", _text(layout.charset).alias("text"))
     candidates = F.regexp_extract_all("text", F.lit(rf"(?im)^{lookaheads}[^\n]*"), F.lit(0))
     header = first_match(candidates, lambda line: is_header(line, layout))
-    texts = once(texts.select("file_name", header.alias("h"), (F.trim("text") == "").alias("empty")), F.col("h"), "header")
+    texts = once(texts.select("file_name", header.alias("h"), (~F.col("text").rlike(r"\S")).alias("empty")), F.col("h"), "header")
     rows = with_layout(texts, layout)
     reason = F.when(F.col("empty"), "empty file").otherwise(_missing(required))
     return rows.select("file_name", reason.alias("reason")).where("reason IS NOT NULL")
@@ -368,7 +368,7 @@ def reject_lines(lines: DataFrame, layout: Layout, headers: DataFrame | None = N
     """The same over a line table."""
     if headers is None:
         headers = settle(find_headers(lines, layout))
-    files = lines.groupBy("file_name").agg(F.max(F.trim("line") != "").alias("has_text"))
+    files = lines.groupBy("file_name").agg(F.max(F.col("line").rlike(r"\S")).alias("has_text"))
     rows = files.join(headers.select("file_name", "names"), "file_name", "left")
     reason = F.when(~F.col("has_text"), "empty file").otherwise(_missing(required))
     return rows.select("file_name", reason.alias("reason")).where("reason IS NOT NULL")
