@@ -762,7 +762,7 @@ def act_text_join(spark, sf_dir):
     landed = docs.select(
         F.col("doc_id").cast("string").alias("NumeroOWSNMBR"), F.lit("Comunicado").alias("TipodoNormativoOWSCHCS"), body.alias("payload")
     )
-    return get_normative_txt(labels, landed).select("doc_id", "quality", "Assunto", "Texto")
+    return get_normative_txt(labels, landed, ["Assunto", "Texto"]).select("doc_id", "quality", "Assunto", "Texto")
 
 
 # --- indicators -----------------------------------------------------------------------------------------

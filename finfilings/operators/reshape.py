@@ -45,43 +45,52 @@ def pivot_wide(
     * ``first`` – the smallest value,
     * ``rows`` – keep them all: a wide row per copy, numbered by ``copy``.
 
-    Rows are first reduced to one per cell, partially before the shuffle, so a hot
-    institution costs no more than its number of accounts.
+    Up to ``NARROW`` names the cells are conditional aggregates: one shuffle of
+    partially aggregated rows, so a hot institution arrives as one row per task.  More
+    names are reduced to one row per cell first and then pivoted.
     """
     ids = list(ids)
     if values is None:
         values = distinct_values(df, names_from)
     names = list(names or [str(v) for v in values])
     value = F.col(f"`{values_from}`")
-    wanted = df.where(F.col(f"`{names_from}`").isin(list(values))) if values else df.where(F.lit(False))
-    rows = df.select(*ids).distinct()
 
     if on_duplicate == "rows":
         return _pivot_copies(df, ids, names_from, values_from, values, names)
     if on_duplicate not in ("error", "sum", "first"):
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 
-    if on_duplicate == "sum" and len(values) <= NARROW:
-        cells = [F.sum(_cell(names_from, v, value)).alias(n) for v, n in zip(values, names)]
-        return df.groupBy(*ids).agg(*cells) if cells else rows
-    if on_duplicate == "first" and len(values) <= NARROW:
-        cells = [F.min(_cell(names_from, v, value)).alias(n) for v, n in zip(values, names)]
-        return df.groupBy(*ids).agg(*cells) if cells else rows
+    if len(values) <= NARROW:
+        cells = [_settled(ids, names_from, v, value, on_duplicate).alias(n) for v, n in zip(values, names)]
+        return df.groupBy(*ids).agg(*cells) if cells else df.select(*ids).distinct()
 
     reduce = F.sum(value) if on_duplicate == "sum" else F.min(value)
     cell = df.groupBy(*ids, names_from).agg(reduce.alias("_v"), F.count("*").alias("_n"))
     v = F.col("_v")
     if on_duplicate == "error":
-        where = F.concat_ws(" / ", *[F.col(f"`{c}`").cast("string") for c in [*ids, names_from]])
-        v = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("several rows for one cell: "), where))).otherwise(v)
+        v = F.when(F.col("_n") > 1, _refuse([*ids, names_from])).otherwise(v)
     cell = cell.select(*ids, names_from, v.alias("_v"))
-    if len(values) <= NARROW:
-        cells = [F.max(_cell(names_from, x, F.col("_v"))).alias(n) for x, n in zip(values, names)]
-        return cell.groupBy(*ids).agg(*cells) if cells else rows
     wide = cell.groupBy(*ids).pivot(names_from, list(values)).agg(F.first("_v", ignorenulls=True))
     return wide.toDF(*ids, *names)
 
 
+def _settled(ids, names_from: str, name, value: Column, on_duplicate: str) -> Column:
+    """One cell of a narrow pivot as a conditional aggregate."""
+    claimed = _cell(names_from, name, value)
+    if on_duplicate == "sum":
+        return F.sum(claimed)
+    if on_duplicate == "first":
+        return F.min(claimed)
+    copies = F.count_if(F.col(f"`{names_from}`") == F.lit(name))
+    return F.when(copies > 1, _refuse(ids, F.lit(name))).otherwise(F.min(claimed))
+
+
+def _refuse(names, *more: Column) -> Column:
+    """Fail with the key of a cell that several rows claim."""
+    key = F.concat_ws(" / ", *[F.col(f"`{c}`").cast("string") for c in names], *[m.cast("string") for m in more])
+    return F.raise_error(F.concat(F.lit("several rows for one cell: "), key))
+
+
 def _cell(names_from: str, name, value: Column) -> Column:
     return F.when(F.col(f"`{names_from}`") == F.lit(name), value)
 

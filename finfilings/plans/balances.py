@@ -13,7 +13,14 @@ from finfilings.operators.grids import balance_grid
 from finfilings.operators.reshape import filter_document, pivot_wide, split_by_type
 from finfilings.operators.sinks import write_long, write_wide_by_type
 from finfilings.session import checkpoint_dir, settle
-from finfilings.sources.archives import bad_archives, expand_archives, usable_members
+from finfilings.sources.archives import (
+    bad_archives,
+    expand_archive_lines,
+    expand_archives,
+    index_archives,
+    usable_lines,
+    usable_members,
+)
 from finfilings.sources.delimited import (
     BALANCES,
     find_headers,
@@ -44,6 +51,8 @@ COLUMNS = {
 }
 REQUIRED = tuple(COLUMNS.values())
 ZIP_GLOB = "*.[zZ][iI][pP]"
+#: Text packs to about an eighth: an archive counts as large from that share on.
+PACKED = 8
 
 
 def _per_file() -> dict:
@@ -82,21 +91,39 @@ def balances_from_lines(lines: DataFrame, document: int | None = None, headers:
 def import_balance_sheets(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """All rows of all balance files of a folder, unzipped archives included.
 
-    Small files are parsed one per row, large ones line by line; archive members are
-    small by their publisher's practice and parsed like small files.
+    Small files and members of small archives are parsed one per row, large ones line
+    by line.  Which way a file goes is decided by its size alone.
     """
     small = file_payloads(spark, path, BALANCE_GLOB, max_bytes=whole_file_bytes).select("file_name", "content")
-    zipped = usable_members(expand_archives(file_payloads(spark, path, ZIP_GLOB)))
-    zipped = zipped.where(F.col("file_name").rlike(r"(?i)\.csv$"))
+    zipped = _csv_only(usable_members(expand_archives(_archives(spark, path, whole_file_bytes, large=False))))
     out = balances_from_payloads(small).unionByName(balances_from_payloads(zipped))
-    if _has_larger(spark, path, whole_file_bytes):
-        lines = file_lines(spark, path, BALANCE_GLOB, charset=BALANCES.charset, above_bytes=whole_file_bytes)
-        out = out.unionByName(balances_from_lines(lines))
+    if _has_larger(spark, path, BALANCE_GLOB, whole_file_bytes):
+        out = out.unionByName(balances_from_lines(_large_lines(spark, path, whole_file_bytes)))
+    if _has_larger(spark, path, ZIP_GLOB, whole_file_bytes // PACKED):
+        out = out.unionByName(balances_from_lines(_large_members(spark, path, whole_file_bytes)))
     return out
 
 
-def _has_larger(spark, path, whole_file_bytes) -> bool:
-    return not list_files(spark, path, BALANCE_GLOB).where(F.col("length") > whole_file_bytes).isEmpty()
+def _archives(spark, path, whole_file_bytes, large: bool) -> DataFrame:
+    bound = whole_file_bytes // PACKED
+    return file_payloads(spark, path, ZIP_GLOB, **({"above_bytes": bound} if large else {"max_bytes": bound}))
+
+
+def _csv_only(files: DataFrame) -> DataFrame:
+    return files.where(F.col("file_name").rlike(r"(?i)\.csv$"))
+
+
+def _large_lines(spark, path, whole_file_bytes) -> DataFrame:
+    return file_lines(spark, path, BALANCE_GLOB, charset=BALANCES.charset, above_bytes=whole_file_bytes)
+
+
+def _large_members(spark, path, whole_file_bytes) -> DataFrame:
+    lines = expand_archive_lines(_archives(spark, path, whole_file_bytes, large=True))
+    return _csv_only(usable_lines(lines, BALANCES.charset))
+
+
+def _has_larger(spark, path, glob, size) -> bool:
+    return not list_files(spark, path, glob).where(F.col("length") > size).isEmpty()
 
 
 def balance_rejects(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
@@ -108,11 +135,16 @@ def balance_rejects(spark: SparkSession, path: str, whole_file_bytes: int = WHOL
     bad_name = names.where(file_type(plain_file_name(F.col("file_name"))).isNull())
     out = bad_name.select("file_name", F.lit("file name is not YYYYMM and a type").alias("reason"))
     small = file_payloads(spark, path, BALANCE_GLOB, max_bytes=whole_file_bytes).select("file_name", "content")
-    members = expand_archives(file_payloads(spark, path, ZIP_GLOB))
-    out = out.unionByName(reject_payloads(small, BALANCES, REQUIRED)).unionByName(bad_archives(members))
-    out = out.unionByName(reject_payloads(usable_members(members), BALANCES, REQUIRED))
-    if _has_larger(spark, path, whole_file_bytes):
-        lines = file_lines(spark, path, BALANCE_GLOB, charset=BALANCES.charset, above_bytes=whole_file_bytes)
+    index = index_archives(file_payloads(spark, path, ZIP_GLOB))
+    members = usable_members(expand_archives(_archives(spark, path, whole_file_bytes, large=False)))
+    out = out.unionByName(reject_payloads(small, BALANCES, REQUIRED)).unionByName(bad_archives(index))
+    out = out.unionByName(reject_payloads(members, BALANCES, REQUIRED))
+    large = []
+    if _has_larger(spark, path, BALANCE_GLOB, whole_file_bytes):
+        large.append(_large_lines(spark, path, whole_file_bytes))
+    if _has_larger(spark, path, ZIP_GLOB, whole_file_bytes // PACKED):
+        large.append(_large_members(spark, path, whole_file_bytes))
+    for lines in large:
         headers = settle(find_headers(lines, BALANCES))
         out = out.unionByName(reject_lines(lines, BALANCES, headers, REQUIRED))
     return out
@@ -182,8 +214,7 @@ def get_balance_sheets(
     """
     grid = balance_grid(spark, institution, months, first_year, final_year)
     files = list_files(spark, path, BALANCE_GLOB).select("file_name")
-    members = expand_archives(file_payloads(spark, path, ZIP_GLOB)).select("archive", "member", "error")
-    members = settle(members)
+    members = settle(index_archives(file_payloads(spark, path, ZIP_GLOB)))
     landed = files.unionByName(
         members.where("error IS NULL").select(F.substring_index("member", "/", -1).alias("file_name"))
     )

@@ -12,7 +12,7 @@ from finfilings.operators.grids import institution_grid
 from finfilings.operators.reshape import split_by_type
 from finfilings.operators.sinks import write_institutions
 from finfilings.session import settle
-from finfilings.sources.archives import expand_archives
+from finfilings.sources.archives import index_archives
 from finfilings.sources.delimited import (
     INSTITUTIONS,
     find_headers,
@@ -55,7 +55,8 @@ def institution_lines(
     csv_glob = BALANCE_GLOB if ignore_case else "*.csv"
     csv_lines = file_lines(spark, path, csv_glob, recursive=True, charset=charset)
     books = file_payloads(spark, path, recursive=True)
-    sheets = sheet_lines(books.where(F.col("file_name").rlike(flag + r"\.(xlsx|xls)$")))
+    # settled, since the header search and the reader both need the unpacked sheets
+    sheets = settle(sheet_lines(books.where(F.col("file_name").rlike(flag + r"\.(xlsx|xls)$"))))
     sheet_rows = usable_sheets(sheets).withColumn(
         "pos", F.struct(F.lit(0).cast("bigint").alias("split"), F.col("pos").alias("row"))
     )
@@ -100,7 +101,7 @@ def get_institutions(spark: SparkSession, path: str, institution, start_date, en
     """
     grid = institution_grid(spark, institution, start_date, end_date)
     archives = file_payloads(spark, path, "*.[zZ][iI][pP]")
-    members = settle(expand_archives(archives).select("archive", "error"))
+    members = settle(index_archives(archives))
     name = plain_file_name(F.col("file_name"))
     archive = F.concat(file_type(name), F.lit("_"), file_period(name), F.lit(".zip"))
     unpacked = institution_files(spark, path, ignore_case=True).select(archive.alias("file_name"))

@@ -28,13 +28,16 @@ def get_normative_data(pages: DataFrame, terms, ini_date, end_date, fields=None,
     return search_acts(table, terms, ini_date, end_date, texts, DATE, NUMBER)
 
 
-def get_normative_txt(normative_data: DataFrame, texts: DataFrame, payload: str = "payload") -> DataFrame:
+def get_normative_txt(
+    normative_data: DataFrame, texts: DataFrame, fields=None, payload: str = "payload"
+) -> DataFrame:
     """Every act with its cleaned text.
 
     ``texts`` holds landed act-text payloads with the act's type and number.  The HTML
-    is cleaned once per landed text, before the join repeats it per act.
+    is cleaned once per landed text, before the join repeats it per act.  Without
+    ``fields`` all fields met are returned, which takes a pass over the payloads.
     """
     records = text_records(texts.select(TYPE, NUMBER, payload), payload)
-    fields = [f for f in record_names(records) if f not in (TYPE, NUMBER)]
+    fields = [f for f in fields or record_names(records) if f not in (TYPE, NUMBER)]
     cleaned = clean_act_texts(record_fields(records, fields))
     return join_texts(normative_data, cleaned, [TYPE, NUMBER])

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finfilings.functions.values import decode_bytes
+
+INDEX = "archive string, member string, size bigint, error string"
 MEMBERS = "archive string, member string, content binary, error string"
 LINES = "archive string, file_name string, pos bigint, raw binary, error string"
 
@@ -49,6 +52,37 @@ def expand_archives(payloads: DataFrame, batch_bytes: int = 8 * 1024 * 1024) ->
     return payloads.select("file_name", "content").mapInPandas(members, MEMBERS)
 
 
+def index_archives(payloads: DataFrame, chunk: int = 1 << 20) -> DataFrame:
+    """Names and sizes of the members, each inflated once in chunks to see that it is
+    whole; no content leaves the task."""
+
+    def index(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        rows = []
+        for batch in batches:
+            for archive, content in zip(batch["file_name"], batch["content"]):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as bundle:
+                        found = []
+                        for info in bundle.infolist():
+                            if not info.is_dir():
+                                with bundle.open(info) as stream:
+                                    while stream.read(chunk):
+                                        pass
+                                found.append((archive, info.filename, info.file_size, None))
+                        rows += found
+                except Exception as problem:
+                    rows.append((archive, None, None, f"{type(problem).__name__}: {problem}"))
+        if rows:
+            yield pd.DataFrame(rows, columns=["archive", "member", "size", "error"])
+
+    return payloads.select("file_name", "content").mapInPandas(index, INDEX)
+
+
 def expand_archive_lines(payloads: DataFrame, rows_per_batch: int = 20_000) -> DataFrame:
     """Lines of every member, inflated as a stream: a member of any size passes
     through in batches instead of becoming one row."""
@@ -88,6 +122,13 @@ def usable_members(members: DataFrame) -> DataFrame:
     return members.where("error IS NULL").select(name.alias("file_name"), "content")
 
 
+def usable_lines(lines: DataFrame, charset: str = "ISO-8859-1") -> DataFrame:
+    """Member lines as a line table; files are told apart by archive and member."""
+    good = lines.where("error IS NULL")
+    name = F.concat_ws("/", "archive", "file_name")
+    return good.select(name.alias("file_name"), "pos", decode_bytes(F.col("raw"), charset).alias("line"))
+
+
 def bad_archives(members: DataFrame) -> DataFrame:
     """Archives that could not be expanded: ``file_name, reason``."""
     return members.where("error IS NOT NULL").select(F.col("archive").alias("file_name"), F.col("error").alias("reason"))

@@ -28,9 +28,10 @@ def file_payloads(
     glob: str | None = None,
     recursive: bool = False,
     max_bytes: int | None = None,
+    above_bytes: int | None = None,
 ) -> DataFrame:
-    """One row per file.  The size bound is pushed to the source, so the content of
-    larger files is never read here.
+    """One row per file.  Size bounds are pushed to the source, so the content of other
+    files is never read here.
 
     ``file_name`` tells files apart: below one folder it is the name, in a recursive
     listing, where names may repeat, the whole path.
@@ -41,6 +42,8 @@ def file_payloads(
     files = reader.load(path)
     if max_bytes is not None:
         files = files.where(F.col("length") <= max_bytes)
+    if above_bytes is not None:
+        files = files.where(F.col("length") > above_bytes)
     name = F.col("path") if recursive else base_name(F.col("path"))
     return files.select(name.alias("file_name"), "path", "length", "content")
 

@@ -157,6 +157,7 @@ def test_archives_are_read_and_kept(spark, tmp_path):
     (tmp_path / "202312_BANCOS.CSV.ZIP").write_bytes(zip_bytes({"202312BANCOS.CSV": FIRST}))
     long = balances.long_balances(spark, str(tmp_path))
     assert long.count() == 3
+    assert long_rows(balances.long_balances(spark, str(tmp_path), whole_file_bytes=0)) == long_rows(long)
     assert (tmp_path / "202312_BANCOS.CSV.ZIP").exists()
 
 
