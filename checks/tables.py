@@ -67,14 +67,14 @@ def file_name_parts(spark, sf_dir):
 @query(
     f"""
     WITH f AS (SELECT DISTINCT upper(file_name) AS file_name FROM ({ORDER_FILES_SQL}))
-    SELECT replace(file_name, '_', '') AS plain_name, CAST(count(*) AS BIGINT) AS n_files,
-           string_agg(file_name, '|' ORDER BY file_name) AS files
-    FROM f GROUP BY 1 HAVING count(*) > 1
+    SELECT plain_name, file_name, CAST(n_files AS BIGINT) AS n_files
+    FROM (SELECT replace(file_name, '_', '') AS plain_name, file_name, count(*) OVER (PARTITION BY replace(file_name, '_', '')) AS n_files FROM f)
+    WHERE n_files > 1
     """
 )
 def file_name_collisions(spark, sf_dir):
     files = _order_files(spark, sf_dir).select(F.upper("file_name").alias("file_name"))
-    return name_collisions(files).select("plain_name", "n_files", F.array_join("files", "|").alias("files"))
+    return name_collisions(files)
 
 
 @query(

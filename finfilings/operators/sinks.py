@@ -11,9 +11,18 @@ from finfilings.operators.reshape import distinct_values, pivot_wide
 from finfilings.session import settle
 
 
+def by_partition(df: DataFrame, keys) -> DataFrame:
+    """Bring rows of one target partition together before a partitioned write.
+
+    Without it every task writes a file into every partition.  The rebalance hint lets
+    adaptive execution split a hot partition over several tasks and merge small ones.
+    """
+    return df.hint("rebalance", *keys)
+
+
 def write_long(df: DataFrame, out_dir: str, mode: str = "overwrite", by=("documento", "inst_type")) -> str:
     """The long table as Parquet, partitioned for later pruning."""
-    writer = df.write.mode(mode).partitionBy(*by)
+    writer = by_partition(df, by).write.mode(mode).partitionBy(*by)
     writer.option("partitionOverwriteMode", "dynamic").parquet(out_dir)
     return out_dir
 
@@ -43,7 +52,7 @@ def write_wide_by_type(
 def write_institutions(df: DataFrame, out_dir: str, mode: str = "overwrite") -> str:
     """Institution lists as CSV, one folder per institution under a path-safe name."""
     tagged = df.withColumn("safe_name", safe_name(F.col("institution")))
-    writer = tagged.write.mode(mode).partitionBy("safe_name").option("header", True)
+    writer = by_partition(tagged, ["safe_name"]).write.mode(mode).partitionBy("safe_name").option("header", True)
     writer.option("partitionOverwriteMode", "dynamic").csv(out_dir)
     return out_dir
 
@@ -66,7 +75,7 @@ def land(df: DataFrame, out_dir: str, by, overwrite: bool = False) -> DataFrame:
         report.select(*keys, (~kept).alias("written"), F.lit(True).alias("success"), note.alias("note"))
     )
     rows = df if overwrite else df.join(there, keys, "left_anti")
-    writer = rows.write.mode("overwrite" if overwrite else "append").partitionBy(*keys)
+    writer = by_partition(rows, keys).write.mode("overwrite" if overwrite else "append").partitionBy(*keys)
     writer.option("partitionOverwriteMode", "dynamic").parquet(out_dir)
     return report
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finfilings.operators.grids import checked_months, checked_types, checked_years
+from finfilings.operators.sinks import by_partition
 from finfilings.sources.indicators import read_registry_csv, read_values_csv, tidy_registry, tidy_values
 from finfilings.vocab import INDICATOR_REPORTS
 
@@ -43,7 +44,8 @@ def get_ifdata_registry(spark: SparkSession, path: str, year, month, multi_line:
 
 def land_values(df: DataFrame, out_dir: str, mode: str = "overwrite") -> str:
     """Tidy values as Parquet, partitioned by the columns that requests filter on."""
-    writer = df.write.mode(mode).partitionBy("ano_mes", "tipo_instituicao")
+    keys = ["ano_mes", "tipo_instituicao"]
+    writer = by_partition(df, keys).write.mode(mode).partitionBy(*keys)
     writer.option("partitionOverwriteMode", "dynamic").parquet(out_dir)
     return out_dir
 

@@ -100,20 +100,15 @@ def institution_files(spark: SparkSession, path: str, ignore_case: bool = False)
 
 
 def name_collisions(files: DataFrame) -> DataFrame:
-    """Plain names shared by several files, with all their spellings."""
-    plain = plain_file_name(F.col("file_name"))
-    return (
-        files.select("file_name", plain.alias("plain_name"))
-        .distinct()
-        .groupBy("plain_name")
-        .agg(F.count("*").alias("n_files"), F.array_sort(F.collect_list("file_name")).alias("files"))
-        .where("n_files > 1")
-    )
+    """Files that share their plain name with others: ``plain_name, file_name, n_files``."""
+    named = files.select(plain_file_name(F.col("file_name")).alias("plain_name"), "file_name").distinct()
+    shared = named.groupBy("plain_name").agg(F.count("*").alias("n_files")).where("n_files > 1")
+    return named.join(shared, "plain_name")
 
 
 def forbid_collisions(files: DataFrame) -> DataFrame:
-    """Fail if two files would have the same plain name, naming them."""
-    clash = name_collisions(files).first()
-    if clash:
-        raise ValueError(f"files share the name {clash['plain_name']}: {', '.join(clash['files'])}")
+    """Fail if files would have the same plain name, naming them."""
+    clashes = name_collisions(files).orderBy("plain_name", "file_name").limit(20).collect()
+    if clashes:
+        raise ValueError("files share a plain name: " + ", ".join(r["file_name"] for r in clashes))
     return files
