@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from finfilings.functions.names import clean_name, unique_names
 from finfilings.functions.values import decode_bytes, null_text
-from finfilings.session import settle, small_side
+from finfilings.session import BROADCAST_BYTES, settle, small_side
 
 
 @dataclass(frozen=True)
@@ -59,6 +59,10 @@ BALANCES = Layout(
 INSTITUTIONS = Layout(words=("CNPJ",), sep=",")
 
 
+# The byte-order mark as UTF-8 and as Latin-1 text.
+BYTE_ORDER_MARK = "^(?:\ufeff|\u00ef\u00bb\u00bf)"
+
+
 # --- expressions -----------------------------------------------------------------
 
 
@@ -99,7 +103,8 @@ def split_cells(line: Column, sep: Column | str) -> Column:
 
 
 def header_tokens(line: Column, sep: Column | str | None = None) -> Column:
-    """Tokens of a header line: quotes and outer blanks removed."""
+    """Tokens of a header line: byte-order mark, quotes and outer blanks removed."""
+    line = F.regexp_replace(line, BYTE_ORDER_MARK, "")
     cells = split_cells(line, guess_sep(line) if sep is None else sep)
     return F.transform(cells, lambda t: F.trim(F.regexp_replace(F.trim(t), "^[\"']|[\"']$", "")))
 
@@ -188,7 +193,6 @@ def payload_headers(payloads: DataFrame, layout: Layout) -> DataFrame:
 
 def _text(charset: str) -> Column:
     text = decode_bytes(F.col("content"), charset)
-    text = F.when(F.startswith(text, F.lit("﻿")), F.substring(text, 2, 2**31 - 1)).otherwise(text)
     return F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
 
 
@@ -302,7 +306,8 @@ def _layout_map(headers: DataFrame, max_layouts: int):
         rows.append((row["names"], clean))
     mapped = [(names, [clean.index(n) if n in clean else None for n in union]) for names, clean in rows]
     table = headers.sparkSession.createDataFrame(mapped, "names array<string>, at array<int>")
-    return union, table
+    size = sum(len(n) + 16 for names, _ in mapped for n in names) + 8 * len(mapped) * len(union)
+    return union, F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
 def _by_union(union) -> dict[str, Column]:
@@ -324,7 +329,7 @@ def parse_lines_by_name(
     heads = _whole_files(headers, per_file)
     union, table = _layout_map(heads, max_layouts)
     heads = small_side(
-        heads.join(small_side(table), "names").select("file_name", *per_file, "header_pos", "sep", "at")
+        heads.join(table, "names").select("file_name", *per_file, "header_pos", "sep", "at")
     )
     body = lines.join(heads, "file_name").where(F.col("pos") > F.col("header_pos"))
     return _read_cells(body, per_file, _by_union(union), layout.sep)
@@ -337,7 +342,7 @@ def parse_payloads_by_name(
     per_file = per_file or {}
     heads = _whole_files(payload_headers(payloads, layout), per_file)
     union, table = _layout_map(heads.select("file_name", "names"), max_layouts)
-    heads = heads.join(small_side(table), "names")
+    heads = heads.join(table, "names")
     heads = heads.select("file_name", *per_file, "text", "header", "sep", "at")
     return _read_cells(_body_lines(heads), per_file, _by_union(union), layout.sep)
 

@@ -75,6 +75,14 @@ def test_import_mixed_sizes_gives_the_same(spark, folder):
     assert long_rows(finfilings.import_balance_sheets(spark, folder.path, whole_file_bytes=200)) == LONG
 
 
+@pytest.mark.parametrize("whole", [0, 1 << 20])
+def test_byte_order_mark_is_not_part_of_a_name(spark, tmp_path, whole):
+    text = "DATA_BASE;DOCUMENTO;CNPJ;NOME_INSTITUICAO;CONTA;SALDO\n202312;4010;1;X;1;2,00\n"
+    (tmp_path / "202312BANCOS.CSV").write_bytes(b"\xef\xbb\xbf" + text.encode())
+    got = finfilings.import_balance_sheets(spark, str(tmp_path), whole)
+    assert rows(got.select("data", "saldo")) == [("202312", Decimal("2.00"))]
+
+
 def test_large_file_over_many_splits(spark, tmp_path):
     body = "".join(f"202312;4010;{i};BANCO SÃO;{i % 7};{i},10\n" for i in range(20_000))
     text = "banner\n#DATA_BASE;DOCUMENTO;CNPJ;NOME_INSTITUICAO;CONTA;SALDO\n" + body
