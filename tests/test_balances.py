@@ -200,6 +200,29 @@ def test_stream_reads_each_file_once(spark, folder, tmp_path):
     assert rows(table.groupBy("inst_type").count()) == [("BANCOS", 4), ("COOPERATIVAS", 2)]
 
 
+def test_hot_file_without_broadcast(spark, monkeypatch):
+    """One file with a third of all rows, headers joined by shuffle: no row is lost."""
+    from finfilings.sources import delimited
+
+    monkeypatch.setattr(delimited, "small_side", lambda df: df)
+    hot = F.col("id") % 3 == 0
+    name = F.when(hot, "202301").otherwise((200001 + F.col("id") % 90).cast("string"))
+    lines = spark.range(30_000).select(
+        F.concat(name, F.lit("BANCOS.CSV")).alias("file_name"), (F.col("id") + 10).alias("pos"),
+        F.concat(F.lit("202301;4010;"), F.col("id").cast("string"), F.lit(";N;1;1,00")).alias("line"),
+    )
+    heads = lines.select("file_name").distinct().select(
+        "file_name", F.lit(0).cast("bigint").alias("pos"), F.lit("DATA;DOCUMENTO;CNPJ;NOME_INSTITUICAO;CONTA;SALDO").alias("line")
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = balances.balances_from_lines(lines.unionByName(heads), 4010)
+        assert got.agg(F.count("*"), F.countDistinct("cnpj")).first()[:] == (30_000, 30_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 # --- plans -----------------------------------------------------------------------------
 
 
