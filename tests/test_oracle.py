@@ -15,13 +15,13 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry._registry().ORACLES))
 def test_query_matches_sql(spark, con, name):
     assert compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry._registry().QUERIES) == set(entry._registry().ORACLES)
 
 
 def test_entry_gives_rows(spark):
