@@ -85,13 +85,13 @@ def _brackets(size: int, percent: int) -> list[int]:
     return [own] if (-(-percent * size // 100)).bit_length() - 1 == own else [own, own - 1]
 
 
-def prefix_keys(size: int, ids: np.ndarray, codes: np.ndarray, percent: int) -> np.ndarray:
+def prefix_keys(size: int, ids: np.ndarray, codes: np.ndarray, percent: int, rare: int = RARE) -> np.ndarray:
     """Index keys of a set of ``size`` tokens, of which ``ids`` (in order, with their count
     codes) occur in more than one document."""
     missing = needed(size, percent) - (size - len(ids))
     if missing <= 0:
         return np.empty(0, np.uint64)
-    n_rare = int(np.searchsorted(codes, RARE, "right"))
+    n_rare = int(np.searchsorted(codes, rare, "right"))
     keys = [mixed(ids[:min(n_rare, missing)])]
     missing -= n_rare
     frequent = ids[n_rare:]
@@ -195,7 +195,7 @@ def _count(group: pa.Table) -> pa.Table:
     )
 
 
-def _index(percent: int, id_type: pa.DataType):
+def _index(percent: int, rare: int, id_type: pa.DataType):
     """A chunk's documents, and the index keys of its distinct sets."""
     def run(group: pa.Table) -> pa.Table:
         cells = {c: group.column(c).to_pylist() for c in group.column_names}
@@ -225,7 +225,7 @@ def _index(percent: int, id_type: pa.DataType):
         own = np.unique(reps)
         for k, a, b in zip(own, np.searchsorted(doc, own, "left"), np.searchsorted(doc, own, "right")):
             if sizes[k]:
-                keys = prefix_keys(int(sizes[k]), token[a:b], code[a:b], percent)
+                keys = prefix_keys(int(sizes[k]), token[a:b], code[a:b], percent, rare)
                 out_names += [names[k]] * len(keys)
                 out_sizes.append(np.full(len(keys), sizes[k]))
                 out_unique.append(np.full(len(keys), sizes[k] - (b - a)))
@@ -259,7 +259,8 @@ def _verify(percent: int):
     return run
 
 
-def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id",
+                    rare: int = RARE) -> DataFrame:
     """``doc_id, text_key, n_shingles, component_id, kept`` for each document.
 
     Documents link when the Jaccard similarity of their sets of ``width``-word shingles is
@@ -272,16 +273,15 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, tex
     is kept only where a component has no other; the component of nulls is null.  Rows that
     repeat both id and text appear, and are marked, each.  An empty table gives none.
     """
-    spark = documents.sparkSession
-    id_field = documents.schema[doc_id]
-    id_name, id_type = id_field.dataType.simpleString(), pa.int64() if id_field.dataType.simpleString() == "bigint" else pa.int32() if id_field.dataType.simpleString() == "int" else pa.string()
+    id_name = documents.schema[doc_id].dataType.simpleString()
+    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_name]
     texts = documents.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("key"), whole_text(text).alias("body"))
     chars = texts.agg(F.coalesce(F.sum(F.length("body")), F.lit(0)).alias("n")).first()["n"]
     grown = int(GROWTH * (chars / 6) ** 0.5)
     parts = max(1, -(-int(chars / 6) // max(GROUP, grown)))
     dealt = texts.mapInArrow(_deal(width, parts, max(CHUNK, grown), id_type), _DEALT.format(id=id_name))
     counted = dealt.groupBy("p").applyInArrow(_count, _BACK.format(id=id_name))
-    indexed = settle(counted.groupBy("chunk").applyInArrow(_index(percent, id_type), f"id {id_name}, key long, name binary, size long, alone long, sig long, document boolean"))
+    indexed = settle(counted.groupBy("chunk").applyInArrow(_index(percent, rare, id_type), f"id {id_name}, key long, name binary, size long, alone long, sig long, document boolean"))
 
     entries = indexed.where("not document").groupBy("sig", "name").agg(F.first("size").alias("size"), F.min("alone").alias("alone"))
     # the set of the fewest rare tokens is nearest to the others
