@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
+
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.session import settle, small_side
+from finfilings.session import checkpoint_dir, settle, small_side
 
-__all__ = ["Numbers", "crc_of", "settle", "small_side", "table", "whole_text"]
+__all__ = ["Numbers", "crc_of", "settle", "small_side", "stored", "table", "whole_text"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once, as Parquet in the shared checkpoint folder: smaller than a
+    checkpoint where rows are many and columns are read selectively."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def whole_text(name: str = "text") -> Column:
     """The text as it is; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -3,8 +3,9 @@
 A text is cut into units (lines, sentences); every run of consecutive units is hashed.
 The hashes are counted over the corpus; of the runs that repeat, the first occurrence
 (smallest doc_id, then position) stays and all others are cut out, overlapping runs
-together.  Only the counting moves a row per run, of eight bytes; everything after it
-works on the runs that repeat.
+together.  Only the counting moves a row per run, of eight bytes.  The hashes that repeat
+are marked in a bitmap of fixed size, and everything after it works on the runs that hit
+it; what hits it by chance, more as a corpus grows, falls away when places are compared.
 """
 
 from __future__ import annotations
@@ -17,7 +18,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finfilings.llm.common import settle, small_side, whole_text
+from finfilings.llm.common import settle, small_side, stored, whole_text
+
+#: Bits of the bitmap of repeated hashes (16 MB), as a power of two.
+MARKS = 27
 
 #: A unit of a text: its content for comparison, its words, and the code points that go with it.
 Unit = tuple[bytes, int, int, int]
@@ -81,32 +85,41 @@ def cut_repeats(documents: DataFrame, units: Callable[[str], list[Unit]], least_
                     yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy())], names=["h"])
 
     def placed(batches):
+        """Runs that hit the bitmap; start, end and whether the last line goes, in one number."""
+        bits = marks.value
         for batch in batches:
-            hashes, cuts, ends, n = [], [], [], []
-            for k, body in enumerate(batch.column("body").to_pylist()):
+            hashes, spans, n = [], [], []
+            for body in batch.column("body").to_pylist():
                 h, c = runs(units(body), least_units, least_words)
-                n.append(len(h))
+                hit = (bits[(h[:, 0] >> 6) & (len(bits) - 1)] >> (h[:, 0] & 63)) & 1 == 1
+                h, c = h[hit], c[hit]
+                last = (c[:, 1] == len(body)) & (separated and body[-1] != "\n")
                 hashes.append(h)
-                cuts.append(c)
-                ends.append((c[:, 1] == len(body)) & (separated and body[-1] != "\n"))
-            at = np.repeat(np.arange(len(n)), n)
+                spans.append(c[:, 0] << 32 | c[:, 1] << 1 | last)
+                n.append(len(h))
+            at = pa.array(np.repeat(np.arange(len(n)), n))
             if len(at):
-                h, c = np.concatenate(hashes), np.concatenate(cuts)
-                ids, keys = batch.column("id").take(pa.array(at)), batch.column("key").take(pa.array(at))
+                h = np.concatenate(hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, keys, *(pa.array(np.ascontiguousarray(x)) for x in (h[:, 0], h[:, 1], c[:, 0], c[:, 1], np.concatenate(ends)))],
-                    names=["id", "key", "h", "h2", "start", "end", "last"],
+                    [batch.column("id").take(at), batch.column("key").take(at), *(pa.array(np.ascontiguousarray(x)) for x in (h[:, 0], h[:, 1], np.concatenate(spans)))],
+                    names=["id", "key", "h", "h2", "span"],
                 )
 
-    many = settle(keyed.select("body").mapInArrow(_gathered(hashes_only), "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    repeated = keyed.select("body").mapInArrow(_gathered(hashes_only), "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    words = repeated.select(
+        F.shiftright("h", 6).bitwiseAND((1 << MARKS - 6) - 1).alias("at"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"),
+    ).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^(MARKS - 6) rows
+    bitmap = np.zeros(1 << MARKS - 6, np.int64)
+    bitmap[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+    marks = documents.sparkSession.sparkContext.broadcast(bitmap)
     id_type = documents.schema[doc_id].dataType.simpleString()
-    places = settle(
-        keyed.mapInArrow(placed, f"id {id_type}, key long, h long, h2 long, start long, end long, last boolean").join(small_side(many), "h", "left_semi")
-    )
-    place = F.struct("id", "key", "start")
+    places = stored(keyed.mapInArrow(_gathered(placed), f"id {id_type}, key long, h long, h2 long, span long"))
+    place = F.struct("id", "key", "span")
     first = places.groupBy("h", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
+    span = F.col("span")
     cut = places.join(first, ["h", "h2"]).where(place != F.col("first")).groupBy("id", "key").agg(
-        F.collect_set(F.struct("start", "end", "last")).alias("cuts"), F.array_sort(F.collect_set("first.id")).alias("first_ids"),
+        F.collect_set(F.struct(F.shiftright(span, 32).alias("start"), F.shiftright(span, 1).bitwiseAND((1 << 31) - 1).alias("end"), (span % 2 == 1).alias("last"))).alias("cuts"),
+        F.array_sort(F.collect_set("first.id")).alias("first_ids"),
     )  # one document's own cuts
     cut = settle(cut.mapInArrow(_merge, f"id {id_type}, key long, cuts array<struct<start:bigint,end:bigint>>, first_ids array<{id_type}>"))
     cut = small_side(cut.select(F.col("id").alias("__cut_id"), F.col("key").alias("__cut_key"), F.col("cuts").alias("__cuts"), F.col("first_ids").alias("__first_ids")))

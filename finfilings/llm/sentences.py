@@ -13,10 +13,10 @@ from finfilings.llm.registry import query
 from finfilings.llm.repeats import Unit, cut_repeats, n_cut
 
 #: A run has so many sentences and words at least.
-SENTENCES, WORDS = 3, 24
+SENTENCES, WORDS = 3, 18
 #: A sentence of more words is cut after words that their own hash chooses, so that a
 #: passage which starts in the middle of it is cut at the same places everywhere.
-LONG, ONE_IN = 10, 5
+LONG, ONE_IN = 10, 6
 
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 _TOKEN = re.compile(r"\S+")
