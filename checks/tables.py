@@ -383,7 +383,7 @@ def variant_choice(spark, sf_dir):
            coalesce(f.good = 200 OR f.existed, false) AND r.name IS NULL AS success,
            CAST(coalesce(f.good, f.bad) AS INTEGER) AS status,
            CASE WHEN r.name IS NOT NULL THEN 'bad archive' WHEN f.name IS NULL THEN 'not landed'
-                WHEN f.existed AND f.good IS NULL AND f.bad IS NULL THEN 'existing file, not overwritten'
+                WHEN f.existed AND f.good IS NULL AND f.bad IS NULL THEN 'landed earlier and kept'
                 WHEN NOT coalesce(f.good = 200 OR f.existed, false) THEN 'status ' || CAST(coalesce(f.good, f.bad) AS VARCHAR) END AS error
     FROM ({GRID_SQL}) g LEFT JOIN f ON f.name = g.expected_name LEFT JOIN r ON r.name = g.expected_name
     """

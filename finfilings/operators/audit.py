@@ -106,7 +106,7 @@ def landing_report(grid: DataFrame, files: DataFrame, rejects: DataFrame | None
     error = (
         F.when(reason.isNotNull(), reason)
         .when(F.col("file_name").isNull(), F.lit("not landed"))
-        .when((F.col("existed") == 1) & final.isNull(), F.lit("existing file, not overwritten"))
+        .when((F.col("existed") == 1) & final.isNull(), F.lit("landed earlier and kept"))
         .when(~success, F.concat(F.lit("status "), final.cast("string")))
     )
     return out.select(

@@ -21,26 +21,20 @@ from finfilings.vocab import BALANCE_TYPES, INDICATOR_TYPES, INSTITUTION_TYPES,
 # --- argument checks --------------------------------------------------------------
 
 
-def strict_tokens(tokens, vocabulary) -> list[str]:
-    """Upper-case tokens; any unknown one is an error listing them all."""
-    upper = [str(t).upper() for t in _as_list(tokens)]
-    unknown = list(dict.fromkeys(t for t in upper if t not in vocabulary))
-    if unknown:
-        raise ValueError("invalid institution: " + ", ".join(unknown))
-    return upper
-
-
-def lenient_tokens(tokens, vocabulary) -> list[str]:
-    """Upper-case known tokens; unknown ones are skipped with a warning, none left is
-    an error."""
-    upper = [str(t).upper() for t in _as_list(tokens)]
-    unknown = list(dict.fromkeys(t for t in upper if t not in vocabulary))
-    if unknown:
-        warnings.warn("unknown institution keys skipped: " + ", ".join(unknown), stacklevel=2)
-        upper = list(dict.fromkeys(t for t in upper if t in vocabulary))
-    if not upper:
-        raise ValueError("no valid institution keys")
-    return upper
+def wanted_tokens(tokens, vocabulary, strict: bool = True) -> list[str]:
+    """The wanted tokens in the vocabulary's order, each once, whatever their case.
+
+    Tokens that the vocabulary lacks fail the call if ``strict``, and are left out with a
+    warning otherwise; a call that keeps no token fails too.
+    """
+    wanted = {str(t).upper() for t in _as_list(tokens)}
+    strangers = ", ".join(sorted(wanted.difference(vocabulary)))
+    kept = [t for t in vocabulary if t in wanted]
+    if strangers and not strict:
+        warnings.warn(f"left out, as no list of that kind exists: {strangers}", stacklevel=2)
+    if (strangers and strict) or not kept:
+        raise ValueError(f"kinds to choose from: {', '.join(vocabulary)}; asked for: {strangers or 'none'}")
+    return kept
 
 
 def month_argument(text) -> datetime.date:
@@ -140,7 +134,7 @@ def balance_grid(spark: SparkSession, institution, months=12, first_year=1993, f
             spark,
             year=range(first_year, final_year + step, step),
             month=checked_months(months),
-            institution=strict_tokens(institution, BALANCE_TYPES),
+            institution=wanted_tokens(institution, BALANCE_TYPES),
         )
     )
 
@@ -158,7 +152,7 @@ def institution_grid_of(dims: DataFrame) -> DataFrame:
 
 
 def institution_grid(spark: SparkSession, institution, start_date, end_date) -> DataFrame:
-    tokens = lenient_tokens(institution, INSTITUTION_TYPES)
+    tokens = wanted_tokens(institution, INSTITUTION_TYPES, strict=False)
     start, end = month_argument(start_date), month_argument(end_date)
     if (start.year, start.month) > (end.year, end.month):
         raise ValueError("start_date lies after end_date")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +25,7 @@ def by_partition(df: DataFrame, keys) -> DataFrame:
 
 def write_long(df: DataFrame, out_dir: str, mode: str = "overwrite", by=("documento", "inst_type")) -> str:
     """The long table as Parquet, partitioned for later pruning."""
-    writer = by_partition(df, by).write.mode(mode).partitionBy(*by)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(out_dir)
+    by_partition(df, by).write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*by).parquet(out_dir)
     return out_dir
 
 
@@ -49,11 +51,25 @@ def write_wide_by_type(
     return written
 
 
-def write_institutions(df: DataFrame, out_dir: str, mode: str = "overwrite") -> str:
-    """Institution lists as CSV, one folder per institution under a path-safe name."""
+def write_institutions(df: DataFrame, out_dir: str, own: dict[str, set[str]] | None = None) -> str:
+    """Institution lists as CSV, one folder per institution under a path-safe name.
+
+    ``own`` names the columns of each institution; without it all have all.  Folders that
+    an earlier run left for other institutions are replaced together with the rest.
+    """
     tagged = df.withColumn("safe_name", safe_name(F.col("institution")))
-    writer = by_partition(tagged, ["safe_name"]).write.mode(mode).partitionBy("safe_name").option("header", True)
-    writer.option("partitionOverwriteMode", "dynamic").csv(out_dir)
+    if own is None:
+        own = {}
+    groups: dict[tuple, list[str]] = {}
+    for name in distinct_values(df, "institution"):
+        columns = tuple(c for c in df.columns if c in own.get(name, df.columns))
+        groups.setdefault(columns, []).append(name)
+    mode = "overwrite"
+    for columns, names in groups.items():  # one write for institutions of the same columns
+        rows = tagged.where(F.col("institution").isin(names)).select(*columns, "safe_name")
+        writer = by_partition(rows, ["safe_name"]).write.mode(mode).partitionBy("safe_name").option("header", True)
+        writer.option("partitionOverwriteMode", "static").csv(out_dir)
+        mode = "append"
     return out_dir
 
 
@@ -67,14 +83,17 @@ def land(df: DataFrame, out_dir: str, by, overwrite: bool = False) -> DataFrame:
     keys = list(by)
     wanted = df.select(*keys).distinct()
     there = existing_partitions(spark, out_dir, wanted.schema)
-    report = wanted.join(there.withColumn("_there", F.lit(True)), keys, "left")
+    there = there.select(*[F.col(f"`{k}`").alias(f"_there_{k}") for k in keys], F.lit(True).alias("_there"))
+    # a null partition value is a value like any other
+    same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"_there_{k}")) for k in keys])
+    report = wanted.join(there, same, "left")
     kept = F.coalesce("_there", F.lit(False)) & F.lit(not overwrite)
-    note = F.when(kept, "existing file, not overwritten")
+    note = F.when(kept, "landed earlier and kept")
     # settled, since the write below changes what is there
     report = settle(
         report.select(*keys, (~kept).alias("written"), F.lit(True).alias("success"), note.alias("note"))
     )
-    rows = df if overwrite else df.join(there, keys, "left_anti")
+    rows = df if overwrite else df.join(there, same, "left_anti")
     writer = by_partition(rows, keys).write.mode("overwrite" if overwrite else "append").partitionBy(*keys)
     writer.option("partitionOverwriteMode", "dynamic").parquet(out_dir)
     return report

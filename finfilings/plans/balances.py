@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.functions.names import file_type, plain_file_name
+from finfilings.functions.names import base_name, file_type, plain_file_name
 from finfilings.functions.periods import ref_month
 from finfilings.functions.values import pad_cnpj, parse_decimal, parse_integer
-from finfilings.operators.audit import landing_report
+from finfilings.operators.audit import landing_report, suffix_rank
 from finfilings.operators.grids import balance_grid
 from finfilings.operators.reshape import filter_document, pivot_wide, split_by_type
 from finfilings.operators.sinks import write_long, write_wide_by_type
-from finfilings.session import checkpoint_dir, settle
+from finfilings.session import checkpoint_dir, settle, small_side, stored
 from finfilings.sources.archives import (
     bad_archives,
     expand_archive_lines,
     expand_archives,
     index_archives,
+    list_members,
     usable_lines,
     usable_members,
 )
@@ -51,8 +52,7 @@ COLUMNS = {
 }
 REQUIRED = tuple(COLUMNS.values())
 ZIP_GLOB = "*.[zZ][iI][pP]"
-#: Text packs to about an eighth: an archive counts as large from that share on.
-PACKED = 8
+CSV_NAME = r"(?i)\.csv$"
 
 
 def _per_file() -> dict:
@@ -88,75 +88,130 @@ def balances_from_lines(lines: DataFrame, document: int | None = None, headers:
     return rows if document is None else filter_document(rows, document)
 
 
-def import_balance_sheets(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """All rows of all balance files of a folder, unzipped archives included.
+def balance_sources(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files of a folder and CSV members of its archives, each period's best form only.
 
-    Small files and members of small archives are parsed one per row, large ones line
-    by line.  Which way a file goes is decided by its size alone.
+    ``name`` is the plain name in upper case, ``file_name`` the file or archive, ``member``
+    null for a file, ``size`` the unpacked size.  Where one name landed in several forms
+    the best of them counts (see ``LANDING_SUFFIXES``); an archive that cannot be opened
+    stands behind no other form.
     """
-    small = file_payloads(spark, path, BALANCE_GLOB, max_bytes=whole_file_bytes).select("file_name", "content")
-    zipped = _csv_only(usable_members(expand_archives(_archives(spark, path, whole_file_bytes, large=False))))
+    files = list_files(spark, path, BALANCE_GLOB).select("file_name", F.lit(None).cast("string").alias("member"), F.col("length").alias("size"))
+    members = list_members(file_payloads(spark, path, ZIP_GLOB)).where("error IS NULL").where(F.col("member").rlike(CSV_NAME))
+    both = files.unionByName(members.select(F.col("archive").alias("file_name"), "member", "size"))
+    suffix = F.regexp_extract("file_name", r"(?i)(\.csv\.zip|\.csv|\.zip)$", 1)
+    named = settle(both.withColumns({
+        "name": F.upper(plain_file_name(F.coalesce("member", "file_name"))), "rank": suffix_rank(suffix),
+    }))
+    best = named.groupBy("name").agg(F.min("rank").alias("rank"))
+    return settle(named.join(best, ["name", "rank"]).drop("rank"))
+
+
+def import_balance_sheets(
+    spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES, document: int | None = None
+) -> DataFrame:
+    """All rows of all balance files of a folder, archives included, each period once.
+
+    Files and members are parsed one per row up to ``whole_file_bytes`` (of members: the
+    unpacked size) and line by line above; the rows are the same.  With a ``document`` only
+    its rows are returned, and long files' other lines are passed over unsplit.
+    """
+    sources = balance_sources(spark, path)
+    small, zipped = _small_payloads(spark, path, whole_file_bytes, sources)
     out = balances_from_payloads(small).unionByName(balances_from_payloads(zipped))
-    if _has_larger(spark, path, BALANCE_GLOB, whole_file_bytes):
-        out = out.unionByName(balances_from_lines(_large_lines(spark, path, whole_file_bytes)))
-    if _has_larger(spark, path, ZIP_GLOB, whole_file_bytes // PACKED):
-        out = out.unionByName(balances_from_lines(_large_members(spark, path, whole_file_bytes)))
+    out = out if document is None else filter_document(out, document)
+    for lines in _large_sources(spark, path, whole_file_bytes, sources):
+        rows = balances_from_lines(lines, document)
+        out = out.unionByName(rows.withColumn("file_name", base_name(F.col("file_name"))))
     return out
 
 
-def _archives(spark, path, whole_file_bytes, large: bool) -> DataFrame:
-    bound = whole_file_bytes // PACKED
-    return file_payloads(spark, path, ZIP_GLOB, **({"above_bytes": bound} if large else {"max_bytes": bound}))
-
+def _of_files(df: DataFrame, sources: DataFrame) -> DataFrame:
+    wanted = small_side(settle(sources.where("member IS NULL").select("file_name")))
+    return df.join(wanted, "file_name", "left_semi")
 
-def _csv_only(files: DataFrame) -> DataFrame:
-    return files.where(F.col("file_name").rlike(r"(?i)\.csv$"))
 
+def _of_members(df: DataFrame, sources: DataFrame, member: str) -> DataFrame:
+    wanted = small_side(settle(sources.where("member IS NOT NULL").select(F.col("file_name").alias("archive"), F.col("member").alias(member))))
+    return df.join(wanted, ["archive", member], "left_semi")
 
-def _large_lines(spark, path, whole_file_bytes) -> DataFrame:
-    return file_lines(spark, path, BALANCE_GLOB, charset=BALANCES.charset, above_bytes=whole_file_bytes)
 
-
-def _large_members(spark, path, whole_file_bytes) -> DataFrame:
-    lines = expand_archive_lines(_archives(spark, path, whole_file_bytes, large=True))
-    return _csv_only(usable_lines(lines, BALANCES.charset))
-
-
-def _has_larger(spark, path, glob, size) -> bool:
-    return not list_files(spark, path, glob).where(F.col("length") > size).isEmpty()
+def _small_payloads(spark, path, whole_file_bytes, sources) -> tuple[DataFrame, DataFrame]:
+    small = file_payloads(spark, path, BALANCE_GLOB, max_bytes=whole_file_bytes).select("file_name", "content")
+    members = expand_archives(file_payloads(spark, path, ZIP_GLOB), max_member_bytes=whole_file_bytes)
+    return _of_files(small, sources), usable_members(_of_members(members, sources, "member"))
+
+
+def _large_sources(spark, path, whole_file_bytes, sources) -> list[DataFrame]:
+    """Line tables of what is above the size, stored; none if there is nothing."""
+    large = sources.where(F.col("size") > whole_file_bytes)
+    out = []
+    if not large.where("member IS NULL").isEmpty():
+        lines = file_lines(spark, path, BALANCE_GLOB, charset=BALANCES.charset, above_bytes=whole_file_bytes)
+        out.append(_of_files(lines, sources))
+    if not large.where("member IS NOT NULL").isEmpty():
+        lines = expand_archive_lines(file_payloads(spark, path, ZIP_GLOB), above_member_bytes=whole_file_bytes)
+        out.append(stored(usable_lines(_of_members(lines, sources, "file_name"), BALANCES.charset)))
+    return out
 
 
-def balance_rejects(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+def balance_rejects(
+    spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES, required=()
+) -> DataFrame:
     """Files that give no rows, with the reason: ``file_name, reason``.
 
-    Spark scans pass over files of zero bytes; the landing report shows them as not landed.
+    ``required`` names columns whose lack counts as a reason too, though such a file does
+    give rows (see :func:`balance_gaps`).  Spark scans pass over files of zero bytes; the
+    landing report shows them as not landed.
     """
     names = list_files(spark, path, BALANCE_GLOB)
     bad_name = names.where(file_type(plain_file_name(F.col("file_name"))).isNull())
     out = bad_name.select("file_name", F.lit("file name is not YYYYMM and a type").alias("reason"))
-    small = file_payloads(spark, path, BALANCE_GLOB, max_bytes=whole_file_bytes).select("file_name", "content")
-    index = index_archives(file_payloads(spark, path, ZIP_GLOB))
-    members = usable_members(expand_archives(_archives(spark, path, whole_file_bytes, large=False)))
-    out = out.unionByName(reject_payloads(small, BALANCES, REQUIRED)).unionByName(bad_archives(index))
-    out = out.unionByName(reject_payloads(members, BALANCES, REQUIRED))
-    large = []
-    if _has_larger(spark, path, BALANCE_GLOB, whole_file_bytes):
-        large.append(_large_lines(spark, path, whole_file_bytes))
-    if _has_larger(spark, path, ZIP_GLOB, whole_file_bytes // PACKED):
-        large.append(_large_members(spark, path, whole_file_bytes))
-    for lines in large:
+    out = out.unionByName(bad_archives(index_archives(file_payloads(spark, path, ZIP_GLOB))))
+    sources = balance_sources(spark, path)
+    for payloads in _small_payloads(spark, path, whole_file_bytes, sources):
+        out = out.unionByName(reject_payloads(payloads, BALANCES, required))
+    for lines in _large_sources(spark, path, whole_file_bytes, sources):
         headers = settle(find_headers(lines, BALANCES))
-        out = out.unionByName(reject_lines(lines, BALANCES, headers, REQUIRED))
+        out = out.unionByName(reject_lines(lines, BALANCES, headers, required))
     return out
 
 
+def balance_gaps(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Files that lack a required column and give rows with nulls there: ``file_name, reason``."""
+    found = balance_rejects(spark, path, whole_file_bytes, REQUIRED)
+    return found.where(F.col("reason").startswith("missing columns: "))
+
+
 def long_balances(spark: SparkSession, path: str, doc_filter: int = 4010, **options) -> DataFrame:
     """Long balances of one document, names checked for collisions first."""
-    files = list_files(spark, path, "*.{[cC][sS][vV],[zZ][iI][pP]}")
-    if files.where(F.col("file_name").rlike(r"(?i)\.zip$")).isEmpty():
-        files = balance_files(spark, path)
-    forbid_collisions(files)
-    return filter_document(import_balance_sheets(spark, path, **options), doc_filter)
+    sources = balance_sources(spark, path)
+    if sources.isEmpty():
+        balance_files(spark, path)
+    forbid_collisions(sources.select(F.concat_ws("/", "file_name", "member").alias("file_name")))
+    return import_balance_sheets(spark, path, document=doc_filter, **options)
+
+
+def forbid_missing_columns(long: DataFrame, spark: SparkSession, path: str, **options) -> DataFrame:
+    """Fail, naming type and columns, if no file of a type has a required one.
+
+    Headers are looked at only where all values of a column are null.
+    """
+    counts = long.groupBy("inst_type").agg(*[F.count(c).alias(c) for c in COLUMNS])
+    absent = F.array_compact(F.array(*[F.when(F.col(c) == 0, F.lit(c)) for c in COLUMNS]))
+    bad = counts.select("inst_type", absent.alias("absent")).where(F.size("absent") > 0).orderBy("inst_type").collect()
+    if bad:
+        kind = file_type(plain_file_name(F.col("file_name"))).alias("inst_type")
+        files = balance_sources(spark, path).select(F.coalesce("member", "file_name").alias("file_name")).groupBy(kind).agg(F.count("*").alias("n"))
+        gaps = balance_gaps(spark, path, **options).select(kind, F.explode(F.split(F.substring_index("reason", ": ", -1), ", ")).alias("c"))
+        absent = gaps.groupBy("inst_type", "c").agg(F.count("*").alias("n")).join(files, ["inst_type", "n"])
+        named = {v: k for k, v in COLUMNS.items()}
+        lacks = {(r["inst_type"], named[r["c"]]) for r in absent.collect()}
+        bad = [{"inst_type": r["inst_type"], "absent": [c for c in r["absent"] if (r["inst_type"], c) in lacks]} for r in bad]
+        bad = [r for r in bad if r["absent"]]
+    if bad:
+        raise ValueError("missing required columns: " + "; ".join(f"{r['inst_type']}: {', '.join(r['absent'])}" for r in bad))
+    return long
 
 
 def wide_balances(long: DataFrame, accounts=None, on_duplicate: str = "error", names=None) -> DataFrame:
@@ -181,9 +236,10 @@ def tidy_balance_sheets(
     if save and not out_dir:
         raise ValueError("out_dir is needed to save")
     long = long_balances(spark, path_raw, doc_filter, **options)
-    stored = f"{out_dir.rstrip('/')}/long" if save else _scratch(spark)
-    write_long(long.drop("file_name"), stored, by=("inst_type",))
-    kept = spark.read.schema(long.drop("file_name").schema).parquet(stored)
+    # a folder of this document's own, replaced as a whole
+    folder = f"{out_dir.rstrip('/')}/long_{doc_filter}" if save else _scratch(spark)
+    write_long(long.drop("file_name"), folder, by=("inst_type",))
+    kept = forbid_missing_columns(spark.read.schema(long.drop("file_name").schema).parquet(folder), spark, path_raw, **options)
     if save:
         write_wide_by_type(kept, out_dir, doc_filter, BALANCE_IDS, on_duplicate=on_duplicate)
     return {

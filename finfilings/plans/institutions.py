@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.functions.names import file_period, file_type, plain_file_name
+from finfilings.functions.names import clean_name, file_period, file_type, plain_file_name, unique_names
 from finfilings.functions.values import cnpj_digits, cnpj_number, is_footnote
 from finfilings.operators.audit import landing_report
 from finfilings.operators.grids import institution_grid
 from finfilings.operators.reshape import split_by_type
 from finfilings.operators.sinks import write_institutions
-from finfilings.session import settle
+from finfilings.session import settle, stored
 from finfilings.sources.archives import index_archives
 from finfilings.sources.delimited import (
     INSTITUTIONS,
@@ -23,6 +23,9 @@ from finfilings.sources.landing import BALANCE_GLOB, file_lines, file_payloads,
 from finfilings.sources.workbooks import bad_workbooks, sheet_lines, usable_sheets
 
 
+BOOK_GLOB = "*.[xX][lL][sS]*"
+
+
 def drop_footnotes(df: DataFrame, name: str = "cnpj") -> DataFrame:
     """Rows that are not footnotes; a row without company number drops out too."""
     return df.where(~is_footnote(F.col(name)))
@@ -54,7 +57,8 @@ def institution_lines(
     flag = "(?i)" if ignore_case else ""
     csv_glob = BALANCE_GLOB if ignore_case else "*.csv"
     csv_lines = file_lines(spark, path, csv_glob, recursive=True, charset=charset)
-    books = file_payloads(spark, path, recursive=True)
+    # the glob keeps the bytes of every other file out of the scan
+    books = file_payloads(spark, path, BOOK_GLOB, recursive=True)
     # settled, since the header search and the reader both need the unpacked sheets
     sheets = settle(sheet_lines(books.where(F.col("file_name").rlike(flag + r"\.(xlsx|xls)$"))))
     sheet_rows = usable_sheets(sheets).withColumn(
@@ -88,10 +92,23 @@ def tidy_institutions(
     without lists gives an empty dict."""
     if institution_files(spark, path, ignore_case).isEmpty():
         return {}
-    rows = read_institutions(spark, path, charset, ignore_case)
+    lines, _ = institution_lines(spark, path, charset, ignore_case)
+    headers = settle(find_headers(lines, INSTITUTIONS))
+    # parsed once, for the written folders, the types and each returned table
+    rows = stored(institutions_from_lines(lines, headers).drop("file_name"))
+    own = own_columns(headers)
     if out_dir:
-        write_institutions(rows.drop("file_name"), out_dir)
-    return split_by_type(rows.drop("file_name"), "institution")
+        write_institutions(rows, out_dir, own)
+    return {name: df.select(*[c for c in df.columns if c in own.get(name, df.columns)]) for name, df in split_by_type(rows, "institution").items()}
+
+
+def own_columns(headers: DataFrame) -> dict[str, set[str]]:
+    """The columns that the lists of each institution have: a bounded vocabulary."""
+    named = headers.select(_per_file()["institution"].alias("institution"), "names").where("institution IS NOT NULL")
+    out: dict[str, set[str]] = {}
+    for row in named.distinct().collect():
+        out.setdefault(row["institution"], {"institution", "data", "cnpj_num"}).update(unique_names(clean_name(n) for n in row["names"]))
+    return out
 
 
 def get_institutions(spark: SparkSession, path: str, institution, start_date, end_date) -> DataFrame:

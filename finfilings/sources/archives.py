@@ -16,8 +16,34 @@ MEMBERS = "archive string, member string, content binary, error string"
 LINES = "archive string, file_name string, pos bigint, raw binary, error string"
 
 
-def expand_archives(payloads: DataFrame, batch_bytes: int = 8 * 1024 * 1024) -> DataFrame:
-    """Members of each archive (``file_name, content``), one row per member.
+def list_members(payloads: DataFrame) -> DataFrame:
+    """Names and unpacked sizes of the members from the archives' directories; nothing is
+    inflated.  What is no archive is a row with an error."""
+
+    def members(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for batch in batches:
+            rows = []
+            for archive, content in zip(batch["file_name"], batch["content"]):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as bundle:
+                        rows += [(archive, i.filename, i.file_size, None) for i in bundle.infolist() if not i.is_dir()]
+                except Exception as problem:
+                    rows.append((archive, None, None, f"{type(problem).__name__}: {problem}"))
+            yield pd.DataFrame(rows, columns=["archive", "member", "size", "error"])
+
+    return payloads.select("file_name", "content").mapInPandas(members, INDEX)
+
+
+def expand_archives(
+    payloads: DataFrame, batch_bytes: int = 8 * 1024 * 1024, max_member_bytes: int | None = None
+) -> DataFrame:
+    """Members of each archive (``file_name, content``), one row per member, up to the
+    given unpacked size.
 
     Members leave in batches of about ``batch_bytes``; a larger one is a batch of its
     own.  For members too large to be one row see :func:`expand_archive_lines`.
@@ -36,7 +62,7 @@ def expand_archives(payloads: DataFrame, batch_bytes: int = 8 * 1024 * 1024) ->
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as bundle:
                         for info in bundle.infolist():
-                            if info.is_dir():
+                            if info.is_dir() or (max_member_bytes is not None and info.file_size > max_member_bytes):
                                 continue
                             data = bundle.read(info)
                             rows.append((archive, info.filename, data, None))
@@ -83,8 +109,10 @@ def index_archives(payloads: DataFrame, chunk: int = 1 << 20) -> DataFrame:
     return payloads.select("file_name", "content").mapInPandas(index, INDEX)
 
 
-def expand_archive_lines(payloads: DataFrame, rows_per_batch: int = 20_000) -> DataFrame:
-    """Lines of every member, inflated as a stream: a member of any size passes
+def expand_archive_lines(
+    payloads: DataFrame, rows_per_batch: int = 20_000, above_member_bytes: int | None = None
+) -> DataFrame:
+    """Lines of every member above the given unpacked size, inflated as a stream: a member of any size passes
     through in batches instead of becoming one row."""
 
     def lines(batches):
@@ -100,7 +128,7 @@ def expand_archive_lines(payloads: DataFrame, rows_per_batch: int = 20_000) -> D
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as bundle:
                         for info in bundle.infolist():
-                            if info.is_dir():
+                            if info.is_dir() or (above_member_bytes is not None and info.file_size <= above_member_bytes):
                                 continue
                             with bundle.open(info) as stream:
                                 for pos, raw in enumerate(stream):

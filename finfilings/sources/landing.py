@@ -8,11 +8,12 @@ read by as many tasks as it has splits.  No file is dropped for its size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finfilings.functions.names import base_name, plain_file_name
 from finfilings.functions.values import decode_bytes
+from finfilings.session import stored
 
 #: Up to this size a file is one row; above it is read as lines.
 WHOLE_FILE_BYTES = 32 * 1024 * 1024
@@ -58,9 +59,9 @@ def file_lines(
 ) -> DataFrame:
     """Lines of the files above a size, with their place in the file.
 
-    ``pos`` is (start of the split, running number).  The running number is not
-    deterministic for the optimizer, so no filter moves below it: every scan of
-    this table sees the same splits and gives a line the same place.
+    ``pos`` is (start of the split, running number).  Both follow from how the scan is
+    split, which may differ from one scan to the next, so the lines are stored once with
+    their places: the header search and the reader then see the same ones.
     """
     reader = spark.read.format("text").option("recursiveFileLookup", str(recursive).lower())
     if glob:
@@ -68,14 +69,19 @@ def file_lines(
     lines = reader.load(path)
     if above_bytes is not None:
         lines = lines.where(F.col("_metadata.file_size") > above_bytes)
-    return lines.select(
-        F.col("_metadata.file_path" if recursive else "_metadata.file_name").alias("file_name"),
+    return stored(lines.select(
+        plain_path(F.col("_metadata.file_path" if recursive else "_metadata.file_name")).alias("file_name"),
         F.struct(
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("pos"),
         decode_bytes(F.col("value"), charset).alias("line"),
-    )
+    ))
+
+
+def plain_path(c: Column) -> Column:
+    """A file's path as it is called; ``_metadata`` has it URL-encoded."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
 
 def list_files(
@@ -108,7 +114,7 @@ def name_collisions(files: DataFrame) -> DataFrame:
 
 def forbid_collisions(files: DataFrame) -> DataFrame:
     """Fail if files would have the same plain name, naming them."""
-    clashes = name_collisions(files).orderBy("plain_name", "file_name").limit(20).collect()
+    clashes = name_collisions(files).orderBy("plain_name", "file_name").collect()  # all of them, as the message names them
     if clashes:
         raise ValueError("files share a plain name: " + ", ".join(r["file_name"] for r in clashes))
     return files

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import finfilings
-from finfilings.plans import balances
+from finfilings.plans import balances, institutions
 from finfilings.sources.delimited import BALANCES, parse_lines, parse_payloads
 from finfilings.sources.landing import file_lines, file_payloads, list_files, name_collisions
 from finfilings.streaming.landing import stream_balances
@@ -102,7 +102,7 @@ def test_rejects(spark, folder):
     folder("202303BANCOS.zip", b"not a zip")
     expected = [
         ("202301BANCOS.CSV", "no header line"), ("202302BANCOS.CSV", "empty file"), ("202303BANCOS.zip",),
-        ("202212BANCOS.csv", "missing columns: NOME_INSTITUICAO"), ("readme.csv", "file name is not YYYYMM and a type"),
+        ("readme.csv", "file name is not YYYYMM and a type"),
     ]
     found = {r["file_name"]: r["reason"] for r in balances.balance_rejects(spark, folder.path).collect()}
     for row in expected:
@@ -110,6 +110,65 @@ def test_rejects(spark, folder):
         assert len(row) == 1 or found[row[0]] == row[1]
     as_lines = {r["file_name"]: r["reason"] for r in balances.balance_rejects(spark, folder.path, 0).collect()}
     assert as_lines == found
+    # a file with rows is no reject; what it lacks is told apart
+    assert "202212BANCOS.csv" not in found
+    gaps = [(r["file_name"], r["reason"]) for r in balances.balance_gaps(spark, folder.path).collect()]
+    assert gaps == [("202212BANCOS.csv", "missing columns: NOME_INSTITUICAO")]
+
+
+@pytest.mark.parametrize("setting,value", [
+    ("spark.sql.files.minPartitionNum", "2"), ("spark.sql.files.minPartitionNum", "64"),
+    ("spark.sql.leafNodeDefaultParallelism", "3"), ("spark.sql.files.maxPartitionBytes", "32k"),
+])
+def test_no_row_is_lost_when_the_splits_change_later(spark, tmp_path, setting, value):
+    lists = tmp_path / "lists"
+    lists.mkdir()
+    head = "#DATA_BASE;DOCUMENTO;CNPJ;NOME_INSTITUICAO;CONTA;SALDO\n"
+    for k in range(3):
+        (tmp_path / f"20231{k}BANCOS.CSV").write_text("banner\n" + head + "".join(f"20231{k};4010;{i};B;{i % 7};1,00\n" for i in range(4_000)))
+        (lists / f"20231{k}BANCOS.csv").write_text("Lista\nCNPJ,NOME\n" + "".join(f"{i},B\n" for i in range(4_000)))
+    long = finfilings.import_balance_sheets(spark, str(tmp_path), whole_file_bytes=0)
+    listed = institutions.read_institutions(spark, str(lists))
+    before = spark.conf.get(setting, None)
+    try:
+        spark.conf.set(setting, value)
+        assert (long.count(), listed.count()) == (12_000, 12_000)
+    finally:
+        spark.conf.set(setting, before) if before else spark.conf.unset(setting)
+
+
+@pytest.mark.parametrize("whole", [0, 1 << 20])
+def test_a_period_in_several_forms_is_read_once(spark, folder, whole):
+    import io
+    import zipfile
+
+    def zipped(member, text):
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as bundle:
+            bundle.writestr(member, text.encode("latin-1"))
+        return data.getvalue()
+
+    folder("202312_BANCOS.CSV.ZIP", zipped("202312BANCOS.CSV", FIRST))
+    folder("202306COOPERATIVAS.ZIP", zipped("202306_COOPERATIVAS.csv", OLD))
+    folder("202212BANCOS.CSV.ZIP", b"not a zip")
+    got = finfilings.import_balance_sheets(spark, folder.path, whole)
+    assert long_rows(got) == LONG
+    assert {r[0] for r in got.select("file_name").distinct().collect()} == {"202312BANCOS.CSV", "202306_COOPERATIVAS.csv", "202212BANCOS.csv"}
+
+
+def test_two_documents_in_one_folder_stay_apart(spark, folder, tmp_path):
+    out = str(tmp_path.parent / f"{tmp_path.name}-out")
+    first = finfilings.tidy_balance_sheets(spark, folder.path, out, doc_filter=4010, on_duplicate="first")
+    second = finfilings.tidy_balance_sheets(spark, folder.path, out, doc_filter=4016, on_duplicate="first")
+    assert set(second) == {"BANCOS"} and set(first) == {"BANCOS", "COOPERATIVAS"}
+    assert {r["documento"] for df in first.values() for r in df.collect()} == {4010}
+    assert {r["documento"] for df in second.values() for r in df.collect()} == {4016}
+
+
+def test_a_type_without_a_required_column_fails(spark, tmp_path):
+    (tmp_path / "202312BANCOS.CSV").write_text("DATA_BASE;DOCUMENTO;CNPJ;CONTA;SALDO\n202312;4010;1;1;2,00\n")
+    with pytest.raises(ValueError, match="BANCOS: nome_instituicao"):
+        finfilings.tidy_balance_sheets(spark, str(tmp_path), save=False)
 
 
 def test_tidy_writes_one_folder_per_type(spark, folder, tmp_path):
@@ -183,7 +242,7 @@ def test_landing_report(spark, tmp_path):
 
 
 def test_unknown_token_fails(spark, tmp_path):
-    with pytest.raises(ValueError, match="FOO, BAR"):
+    with pytest.raises(ValueError, match="BAR, FOO"):
         finfilings.get_balance_sheets(spark, str(tmp_path), ["foo", "bancos", "bar"], 12, 2022, 2022)
 
 

@@ -34,11 +34,12 @@ def test_arguments():
     with pytest.raises(ValueError):
         grids.month_argument("Dec 2023")
     with pytest.raises(ValueError, match="A, B"):
-        grids.strict_tokens(["x", "a", "b", "a"], {"X"})
+        grids.wanted_tokens(["x", "a", "b", "a"], ("X",))
+    assert grids.wanted_tokens(["y", "X", "x"], ("X", "Y")) == ["X", "Y"]
     with pytest.warns(UserWarning, match="A"):
-        assert grids.lenient_tokens(["x", "a"], {"X"}) == ["X"]
+        assert grids.wanted_tokens(["x", "a"], ("X",), strict=False) == ["X"]
     with pytest.raises(ValueError), pytest.warns(UserWarning):
-        grids.lenient_tokens(["a"], {"X"})
+        grids.wanted_tokens(["a"], ("X",), strict=False)
 
 
 @pytest.mark.parametrize("total, starts", [(0, []), (-1, []), (1, [0]), (499, [0]), (500, [0, 500]), (1001, [0, 500, 1000])])
@@ -115,7 +116,7 @@ def test_landing_keeps_what_is_there(spark, tmp_path):
     keys = ["data", "inst_type"]
     assert rows(sinks.land(first, out, keys)) == [("202312", "BANCOS", True, True, None)]
     report = rows(sinks.land(both, out, keys))
-    assert report == [("202312", "BANCOS", False, True, "existing file, not overwritten"), ("202401", "BANCOS", True, True, None)]
+    assert report == [("202312", "BANCOS", False, True, "landed earlier and kept"), ("202401", "BANCOS", True, True, None)]
     assert sorted(r["v"] for r in spark.read.parquet(out).collect()) == [1, 3]
     sinks.land(both, out, keys, overwrite=True)
     assert sorted(r["v"] for r in spark.read.parquet(out).collect()) == [2, 3]
