@@ -2,30 +2,21 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.session import checkpoint_dir, settle, small_side
+from finfilings.session import settle, small_side, stored
 
-__all__ = ["Numbers", "crc_of", "settle", "small_side", "stored", "table", "whole_text"]
+__all__ = ["Numbers", "crc_of", "held", "settle", "small_side", "stored", "table", "whole_text"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once, as Parquet in the shared checkpoint folder: smaller than a
-    checkpoint where rows are many and columns are read selectively."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def whole_text(name: str = "text") -> Column:
     """The text as it is; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -43,7 +34,7 @@ class Numbers(dict):
     many partitions does not grow with the vocabulary.
     """
 
-    LIMIT = 400_000
+    LIMIT = 300_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -52,3 +43,15 @@ class Numbers(dict):
         if len(word) <= 64:
             self[word] = number
         return number
+
+
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]):
+    """What a Python worker keeps from task to task: one thing at a time, so that a worker
+    that served another operator before does not hold that one's memory as well."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]

@@ -15,8 +15,10 @@ Everything works on classes of equal sets, named by a digest, so copies meet as
    than one document, and the chunk's prefixes follow from that.  A token is counted
    within a chunk first, so a token of very many documents is one entry per chunk.
 2. In each bucket of the index every set is compared with one of few rare tokens (a star).
-3. Sets of a bucket that the links so far leave apart are compared pair by pair.  Sets
-   already together need no further link, so large groups of copies stay linear.
+3. Sets of a bucket that the links so far leave apart are compared pair by pair, each
+   pair in the first bucket that it shares.  Sets already together need no further link,
+   and as 1 - similarity is a metric, sets whose distances to the bucket's centre differ
+   by more than a link spans cannot link.
 """
 
 from __future__ import annotations
@@ -29,19 +31,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.llm.common import Numbers, settle, small_side, table, whole_text
+from finfilings.llm.common import Numbers, held, settle, small_side, table, whole_text
 from finfilings.llm.components import connected
 from finfilings.llm.registry import query
 
 #: A token of more documents is frequent.
 RARE = 64
+#: Buckets that a set remembers, to compare a pair in one of those it shares.
+FIRST = 16
 #: Tokens of a chunk, and of a group whose counts are added up, at least; both grow with
 #: the square root of the corpus, so that their product keeps pace with it.
 CHUNK, GROUP, GROWTH = 1_000_000, 500_000, 40
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
-_NUMBERS = Numbers()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -56,7 +59,7 @@ def shingles(text: str, width: int) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_NUMBERS.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(held("numbers", Numbers).__getitem__, words), np.uint64, len(words))
     k = min(width, len(words))
     got = np.full(len(words) - k + 1, k, np.uint64)
     for i in range(k):
@@ -246,17 +249,16 @@ def _index(percent: int, rare: int, id_type: pa.DataType):
     return run
 
 
-def _verify(percent: int):
-    def run(batches):
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return run
+def _common(batches):
+    """How many tokens the sets of a pair share."""
+    for batch in batches:
+        shared = [
+            len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True))
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+        ]
+        union = [(len(x) + len(y)) // 8 - n for x, y, n in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), shared)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(union, pa.int64())], names=["a", "b", "shared", "all"])
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id",
@@ -307,20 +309,35 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, tex
 
     sets = settle(texts.select("body").mapInArrow(sets_of, "name binary, tokens binary").join(members, "name", "left_semi").groupBy("name").agg(F.first("tokens").alias("tokens")))
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def compared(pairs: DataFrame) -> DataFrame:
         first, second = (sets.select(F.col("name").alias(n), F.col("tokens").alias(t)) for n, t in (("a", "x"), ("b", "y")))
-        return settle(pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a binary, b binary"))
+        return settle(pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(_common, "a binary, b binary, shared long, all long"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return pairs.where(F.col("shared") * 100 >= F.col("all") * percent).select("a", "b")
 
-    links = verified(stars)
+    around = compared(stars)
+    links = linked(around)
     roots = connected(links)
-    labelled = entries.drop("lead").join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
+    far = 1 - F.col("shared") / F.col("all")
+    away = around.select(F.col("a").alias("centre"), F.col("b").alias("name"), far.alias("far")).unionByName(
+        around.select(F.col("b").alias("centre"), F.col("a").alias("name"), far.alias("far")))
+    labelled = entries.select("sig", "name", "size", "alone", F.col("lead.name").alias("centre")).join(
+        roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     apart = labelled.groupBy("sig").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("sig")
-    open_ = settle(labelled.join(apart, "sig", "left_semi"))
-    left, right = (open_.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in ("name", "size", "alone", "root")]) for s in "ab")
+    open_ = settle(labelled.join(apart, "sig", "left_semi").join(away, ["centre", "name"], "left").withColumn(
+        "far", F.when(F.col("centre") == F.col("name"), 0.0).otherwise(F.col("far"))))
+    # the smallest few of a set's open buckets: a pair is compared in the first that both remember
+    few = open_.groupBy("name").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, FIRST).alias("few"))
+    open_ = settle(open_.join(few, "name"))
+    left, right = (open_.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in ("name", "size", "alone", "root", "far", "few")]) for s in "ab")
+    both = F.array_intersect("few_a", "few_b")
     pairs = left.join(right, "sig").where(
         (F.col("name_a") < F.col("name_b")) & (F.col("root_a") != F.col("root_b")) & promising("size_a", "alone_a", "size_b", "alone_b")
+        & F.coalesce(F.abs(F.col("far_a") - F.col("far_b")) <= 1 - percent / 100 + 1e-9, F.lit(True))
+        & ((F.size(both) == 0) | (F.array_min(both) == F.col("sig")))
     ).select(F.col("name_a").alias("a"), F.col("name_b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(pairs))
+    links = links.unionByName(linked(compared(pairs)))
     roots = connected(links)
 
     rows = indexed.where("document").select("id", "key", "name", "size")
