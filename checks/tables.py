@@ -747,7 +747,7 @@ def page_totals(spark, sf_dir):
     r"""
     SELECT l.doc_id AS doc_id, CAST(l.quality AS BIGINT) AS quality, d.source AS "Assunto",
            trim(regexp_replace(d.text, '[\t\n\f\r\x{00a0} ]+', ' ', 'g')) AS "Texto"
-    FROM labels l LEFT JOIN (SELECT * FROM documents WHERE NOT contains(text, '<') AND NOT contains(text, '&')) d ON l.doc_id = d.doc_id
+    FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id
     """
 )
 def act_text_join(spark, sf_dir):
@@ -755,9 +755,10 @@ def act_text_join(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").cast("string").alias("NumeroOWSNMBR"), F.lit("Comunicado").alias("TipodoNormativoOWSCHCS"), "doc_id", F.col("quality").cast("bigint").alias("quality")
     )
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id").where(~F.col("text").contains("<") & ~F.col("text").contains("&"))
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    escaped = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     body = F.to_json(F.struct(F.array(F.struct(
-        F.concat(F.lit("<p>"), "source", F.lit("</p>")).alias("Assunto"), F.concat(F.lit("<div>"), "text", F.lit("\n</div><!-- c -->")).alias("Texto"),
+        F.concat(F.lit("<p>"), "source", F.lit("</p>")).alias("Assunto"), F.concat(F.lit("<div>"), escaped, F.lit("\n</div><!-- c -->")).alias("Texto"),
     )).alias("conteudo")))
     landed = docs.select(
         F.col("doc_id").cast("string").alias("NumeroOWSNMBR"), F.lit("Comunicado").alias("TipodoNormativoOWSCHCS"), body.alias("payload")

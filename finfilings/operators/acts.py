@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from finfilings.functions.text import cut_decimal_in, html_to_line, scrub_prefix_in, strip_tags_in
 from finfilings.operators.numbering import number_rows
@@ -28,13 +30,17 @@ def search_acts(
 ) -> DataFrame:
     """Acts of a closed date interval that hold one of the terms.
 
-    The date bounds are plain comparisons, so they reach the scan; with a ``key`` the
-    result is sorted by date descending, then key.
+    An end that is a day without a time takes in the whole day.  The bounds are plain
+    comparisons, so they reach the scan; with a ``key`` the result is sorted by date
+    descending, then key.
     """
     terms = [terms] if isinstance(terms, str) else list(terms)
     texts = [text] if isinstance(text, str) else list(text)
     hit = reduce(lambda a, b: a | b, [F.coalesce(holds_any(F.col(c), terms), F.lit(False)) for c in texts])
-    found = df.where((F.col(date) >= F.lit(ini_date)) & (F.col(date) <= F.lit(end_date))).where(hit)
+    until = F.col(date) <= F.lit(end_date)
+    if isinstance(df.schema[date].dataType, (TimestampType, TimestampNTZType)) and len(str(end_date)) == 10:
+        until = F.col(date) < F.lit(str(datetime.date.fromisoformat(str(end_date)) + datetime.timedelta(days=1)))
+    found = df.where((F.col(date) >= F.lit(ini_date)) & until).where(hit)
     return latest_first(found, date, key) if key else found
 
 

@@ -65,10 +65,12 @@ def pivot_wide(
         return df.groupBy(*ids).agg(*cells) if cells else df.select(*ids).distinct()
 
     reduce = F.sum(value) if on_duplicate == "sum" else F.min(value)
-    cell = df.groupBy(*ids, names_from).agg(reduce.alias("_v"), F.count("*").alias("_n"))
+    # unwanted names stay as a null one: they keep the row of their ids and claim no cell
+    wanted = F.when(F.col(f"`{names_from}`").isin(list(values)), F.col(f"`{names_from}`"))
+    cell = df.withColumn(names_from, wanted).groupBy(*ids, names_from).agg(reduce.alias("_v"), F.count("*").alias("_n"))
     v = F.col("_v")
     if on_duplicate == "error":
-        v = F.when(F.col("_n") > 1, _refuse([*ids, names_from])).otherwise(v)
+        v = F.when((F.col("_n") > 1) & F.col(f"`{names_from}`").isNotNull(), _refuse([*ids, names_from])).otherwise(v)
     cell = cell.select(*ids, names_from, v.alias("_v"))
     wide = cell.groupBy(*ids).pivot(names_from, list(values)).agg(F.first("_v", ignorenulls=True))
     return wide.toDF(*ids, *names)

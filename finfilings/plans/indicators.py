@@ -22,11 +22,16 @@ def get_ifdata_values(
 
     ``path`` is either a folder of payload files or a table written by
     :func:`land_values`; there the period and type are partition columns and the
-    filter prunes folders.
+    filter prunes folders.  ``relatorio`` other than T (all) keeps the rows of that report.
     """
     if relatorio not in INDICATOR_REPORTS:
         raise ValueError("relatorio is one of " + ", ".join(INDICATOR_REPORTS))
+    if is_landed(spark, path):
+        found = landed_values(spark, path, year, month, type_institution)
+        return found if relatorio == "T" else found.where(F.col("numero_relatorio") == relatorio)
     raw = read_values_csv(spark, path, multi_line)
+    if relatorio != "T":
+        raw = raw.where(F.col("NumeroRelatorio") == relatorio)
     return tidy_values(
         raw.where(
             F.col("AnoMes").isin(_periods(year, month))
@@ -35,6 +40,12 @@ def get_ifdata_values(
     )
 
 
+def is_landed(spark: SparkSession, path: str) -> bool:
+    """Is the folder a table of :func:`land_values`?  Names are listed, nothing is read."""
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
+    return not parts.select("path").isEmpty()
+
+
 def get_ifdata_registry(spark: SparkSession, path: str, year, month, multi_line: bool = False) -> DataFrame:
     """Registry of the wanted periods, tidied."""
     raw = read_registry_csv(spark, path, multi_line)

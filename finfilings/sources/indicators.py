@@ -31,6 +31,7 @@ def _read(spark, path, columns, multi_line):
     return (
         spark.read.schema(_schema(columns))
         .option("header", True)
+        .option("enforceSchema", False)  # columns in another order fail instead of trading places
         .option("encoding", "UTF-8")
         .option("multiLine", multi_line)
         .option("escape", '"')
