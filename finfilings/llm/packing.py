@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import bisect
 import random
+import re
 import zlib
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finfilings.llm.common import settle, table, whole_text
+from finfilings.llm.common import held, settle, table, whole_text
 from finfilings.llm.registry import query
 from finfilings.operators.numbering import number_rows
 
@@ -36,43 +37,58 @@ SHARD, ISLANDS, PACKINGS, GENERATIONS, EPOCHS = 2_048, 3, 6, 8, 2
 #: A bin is well filled with no more than this left, and stays as it is.
 SLACK = 8
 ROUNDS = 5
-#: Chunks remembered by a tokenising worker.
-REMEMBERED = 300_000
+#: Words remembered by a tokenising worker.
+WORDS = 400_000
+
+# Texts of these characters only are split here as the tokenizer splits them; they have one
+# form under composition, and lower case changes each letter alone.
+_PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
+_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 
 
 class Tokens:
-    """Token ids of whole texts, one chunk between blanks at a time.
+    """Token ids of whole texts, one word at a time.
 
-    No token of this tokenizer spans a blank, so a text's ids are its chunks' ids one
-    after the other, and a chunk met before need not be tokenised again.  The memory of
-    chunks is bounded.
+    The tokenizer splits a text into words, single digits and runs of marks, and gives each
+    its own ids, so a word met before need not be tokenised again.  What is remembered is
+    bounded: the first come stay, which are the most frequent.  A text with characters
+    beyond Latin-1's, or with the string of a special token, is encoded as it is.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.words = Tokenizer.from_file(path), {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of words.  They are encoded in one text and told apart by the tokens
+        that end a word."""
+        flat = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        stops = np.flatnonzero(self.ends[flat]) + 1
+        if len(stops) == len(parts):
+            packed, at = flat.tobytes(), [0, *(4 * stops).tolist()]
+            return {w: packed[x:y] for w, x, y in zip(parts, at, at[1:])}
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return {p: np.array(f.ids, "<u4").tobytes() for p, f in zip(parts, found)}
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = [c for c in {c for chunks in split for c in chunks} if c not in known]
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[chunk] = np.array(found.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join([known[c] for c in chunks]), "<u4") for chunks in split]
-
-
-_TOKENS: dict[str, Tokens] = {}
-
-
-def _tokens(path: str) -> Tokens:
-    if path not in _TOKENS:
-        _TOKENS[path] = Tokens(path)
-    return _TOKENS[path]
+        words = self.words
+        split = [_SPLIT.findall(t.lower()) if "<|" not in t and _PLAIN.fullmatch(t) else None for t in texts]
+        new = list(set().union(*[own for own in split if own]).difference(words))
+        words.update(self._encode(new))
+        ids = []
+        for text, own in zip(texts, split):
+            if own is None:
+                ids.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4"))
+            else:
+                ids.append(np.frombuffer(b"".join(map(words.__getitem__, own)), "<u4"))
+        if len(words) > WORDS:
+            for word in new:
+                del words[word]
+        return ids
 
 
 def pieces_of(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str = "text", doc_id: str = "doc_id", ids: bool = False) -> DataFrame:
@@ -82,7 +98,7 @@ def pieces_of(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, te
     and all its pieces but the last are full.  Null and empty texts are the end token alone.
     """
     def run(batches):
-        found = _tokens(tokenizer)
+        found = held(f"tokens {tokenizer}", lambda: Tokens(tokenizer))
         for batch in batches:
             names, texts = batch.column("id"), batch.column("body").to_pylist()
             begin = 0
