@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finfilings.llm.common import table, whole_text
+from finfilings.llm.common import held, table, whole_text
 from finfilings.llm.registry import query
 
 #: Consecutive words that make a window.
@@ -98,17 +98,6 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_MATCHERS: dict[str, Matcher] = {}
-
-
-def _matcher(key: str, items, window: int) -> Matcher:
-    """Built once in each worker."""
-    if key not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[key] = Matcher(items, window)
-    return _MATCHERS[key]
-
-
 def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[tuple[list[tuple[object, str]], bool]]:
     """The items in blocks of bounded size, and whether a block is the last; one block at
     a time passes through the driver."""
@@ -159,7 +148,7 @@ def find_benchmark(documents: DataFrame, benchmark: DataFrame, text: str = "text
 
         def scan(batches, key=key, sent=sent, first=k == 0, last=last):
             for batch in batches:
-                matcher, n = _matcher(key, sent.value, window), batch.num_rows
+                matcher, n = held(f"matcher {key}", lambda: Matcher(sent.value, window)), batch.num_rows
                 earlier = [[None] * n] * 2 if first else [batch.column(c).to_pylist() for c in ("__spans", "__items")]
                 cells: dict[str, list] = {c: [] for c in (*added, "__spans", "__items")}
                 for body, packed, known in zip(batch.column(text).to_pylist(), *earlier):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finfilings.llm.common import Numbers, crc_of, settle, table, whole_text
+from finfilings.llm.common import Numbers, crc_of, held, settle, small_side, table, whole_text
 from finfilings.llm.registry import query
 
 #: Places that features are hashed to; bounds the size of the weights.
@@ -30,7 +30,6 @@ ALPHA, BETA, L1, L2 = 0.6, 1.0, 4.0, 0.2
 
 _FOLD = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _PAIR, _SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_NUMBERS = Numbers()
 
 
 def features(text: str) -> np.ndarray:
@@ -38,7 +37,7 @@ def features(text: str) -> np.ndarray:
     words = text.lower().encode("utf-8", "surrogatepass").translate(_FOLD).split()
     if not words:
         return np.empty(0, np.int64)
-    h = np.fromiter(map(_NUMBERS.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(held("numbers", Numbers).__getitem__, words), np.uint64, len(words))
     parts = [h, h[:-1] * _PAIR + (h[1:] ^ _SKIP), h[:-2] * _SKIP + (h[2:] ^ _PAIR)]
     return np.unique(np.concatenate(parts) >> np.uint64(46)).astype(np.int64)
 
@@ -144,6 +143,7 @@ def labelled_texts(documents: DataFrame, labels: DataFrame, learn) -> DataFrame:
     Where the labels repeat a document, toxic wins; a repeated document counts for each row.
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    known = small_side(settle(known))
     return documents.select("doc_id", "text").where(learn).join(known, "doc_id").select("text", "label", F.col("doc_id").alias("order"))
 
 
