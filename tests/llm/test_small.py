@@ -186,7 +186,7 @@ def test_lines_of_later_windows_go(spark):
 
 def test_a_long_passage_goes_from_later_documents_wherever_it_starts(spark):
     passage = prose(70, 77)
-    rows = [(k, f"{prose(40, k)}. {prose(5, k + 50)} {passage} {prose(6, k + 90)}. {prose(30, k + 200)}.") for k in range(8)] + [(20, None), (21, ""), (22, prose(300, 3))]
+    rows = [(k, f"{prose(40, k)}. {prose(5, k + 50)} {passage} {prose(6, k + 90)}. {prose(30, k + 200)}.") for k in range(8)] + [(20, None), (21, ""), (22, prose(300, 33_333))]
     frame = spark.createDataFrame(rows, DOCS).withColumn("cuts", F.lit("own")).repartition(3)
     got = {x["doc_id"]: x for x in sentences.dedup_sentences(frame).collect()}
     assert got[0]["text"] == rows[0][1] and got[20]["text"] is None and got[22]["text"] == rows[10][1]
@@ -207,7 +207,7 @@ def test_the_longest_rule_wins(spark):
     assert got[4][2:] == ("www.example.com/en/", "allow") and got[5] == ("example.com", "", None, "allow")
     assert got[6][2:] == ("com/", "allow") and got[7][2:] == ("com/", "allow") and got[8][2:] == ("net/es/", "block")
     assert got[9][2:] == (None, "allow") and got[10] == ("a.b.c.net", "/fr/", "net/fr/", "block") and got[11][0] == "" and got[12] == ("h", "", None, "allow")
-    assert got[13][1] == "/a\nb" and got[14][2] == "example.com/en/"
+    assert got[13][1] == "/a\nb" and got[14][:3] == ("u:p@example.com", "/en/1", "com/")
     empty = urlfilter.filter_urls(pages, spark.createDataFrame([], "verdict string, host string, path string"), default="block")
     assert {x["verdict"] for x in empty.collect()} == {"block"} and empty.count() == 2 * len(urls)
 
