@@ -295,8 +295,7 @@ def _institution_result(rows: DataFrame) -> DataFrame:
     return rows.select("data", "institution", "nome_instituicao", "cnpj_num", "cnpj", "uf")
 
 
-@query(INSTITUTION_SQL)
-def institution_csv(spark, sf_dir):
+def institution_list_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers printed as one list per segment, with title, footnote and dotted numbers.
     One segment's list lacks a column."""
     customers = table(spark, sf_dir, "customer")
@@ -309,8 +308,13 @@ def institution_csv(spark, sf_dir):
         F.col("c_custkey").alias("pos"), line.alias("line"), "c_mktsegment",
     )
     header = F.when(short, "CNPJ,NOME INSTITUIÇÃO").otherwise("CNPJ,NOME INSTITUIÇÃO,UF")
-    lines = lines_with_head(body, lambda: [F.lit("RELAÇÃO DE INSTITUIÇÕES"), header, F.lit("FONTE: Unicad,,"), F.lit(",SEM NUMERO,")], "c_mktsegment")
-    return _institution_result(institutions_from_lines(lines))
+    return lines_with_head(body, lambda: [F.lit("RELAÇÃO DE INSTITUIÇÕES"), header, F.lit("FONTE: Unicad,,"), F.lit(",SEM NUMERO,")], "c_mktsegment")
+
+
+@query(INSTITUTION_SQL)
+def institution_csv(spark, sf_dir):
+    """Lists read without their files."""
+    return _institution_result(institutions_from_lines(institution_list_lines(spark, sf_dir)))
 
 
 def _workbooks(rows: DataFrame) -> DataFrame:

@@ -801,6 +801,17 @@ def ifdata_values(spark, sf_dir):
     return tidy.withColumn("saldo", as_double(F.col("saldo")))
 
 
+def registry_lines(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer")
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    cells = [
+        key, F.lit("202312"), _csv_cell(F.col("c_name")), F.lit(""), F.lit("b1"), F.lit("1"), F.lit("2"), F.col("c_mktsegment"), F.lit('"Atividade, várias"'),
+        F.lit("SP"), F.lit("São Paulo"), F.concat(F.lit("S"), nation), F.lit(""), F.concat(F.lit("C"), nation), key, F.lit("A"),
+    ]
+    body = customers.select(F.lit("202312.csv").alias("file_name"), F.col("c_custkey").alias("pos"), F.concat_ws(",", *cells).alias("line"))
+    return lines_with_head(body, lambda: [F.lit(",".join(REGISTRY_COLUMNS))])
+
+
 @query(
     """
     SELECT CAST(c_custkey AS VARCHAR) AS cod_inst, '202312' AS data, c_name AS nome_instituicao, CAST(NULL AS VARCHAR) AS data_inicio_atividade,
@@ -811,15 +822,7 @@ def ifdata_values(spark, sf_dir):
     """
 )
 def ifdata_registry(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer")
-    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
-    cells = [
-        key, F.lit("202312"), _csv_cell(F.col("c_name")), F.lit(""), F.lit("b1"), F.lit("1"), F.lit("2"), F.col("c_mktsegment"), F.lit('"Atividade, várias"'),
-        F.lit("SP"), F.lit("São Paulo"), F.concat(F.lit("S"), nation), F.lit(""), F.concat(F.lit("C"), nation), key, F.lit("A"),
-    ]
-    body = customers.select(F.lit("202312.csv").alias("file_name"), F.col("c_custkey").alias("pos"), F.concat_ws(",", *cells).alias("line"))
-    lines = lines_with_head(body, lambda: [F.lit(",".join(REGISTRY_COLUMNS))])
-    return indicators.tidy_registry(indicators.parse_csv_lines(lines, REGISTRY_COLUMNS).drop("file_name"))
+    return indicators.tidy_registry(indicators.parse_csv_lines(registry_lines(spark, sf_dir), REGISTRY_COLUMNS).drop("file_name"))
 
 
 @query(
