@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finfilings.session import settle, small_side, stored
 
-__all__ = ["Numbers", "crc_of", "held", "settle", "small_side", "stored", "table", "whole_text"]
+__all__ = ["Numbers", "crc_of", "held", "settle", "small_side", "stored", "table", "texts_of", "whole_text"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +46,12 @@ class Numbers(dict):
         return number
 
 
+def texts_of(column: pa.Array, rows: int = 128) -> Iterator[str | None]:
+    """The texts of an Arrow column; only a few rows at a time are Python objects."""
+    for begin in range(0, len(column), rows):
+        yield from column.slice(begin, rows).to_pylist()
+
+
 _HELD: dict[str, object] = {}
 
 
@@ -53,5 +60,6 @@ def held(name: str, make: Callable[[], object]):
     that served another operator before does not hold that one's memory as well."""
     if name not in _HELD:
         _HELD.clear()
+        pa.default_memory_pool().release_unused()
         _HELD[name] = make()
     return _HELD[name]

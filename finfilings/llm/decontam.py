@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finfilings.llm.common import held, table, whole_text
+from finfilings.llm.common import held, table, texts_of, whole_text
 from finfilings.llm.registry import query
 
 #: Consecutive words that make a window.
@@ -151,7 +151,7 @@ def find_benchmark(documents: DataFrame, benchmark: DataFrame, text: str = "text
                 matcher, n = held(f"matcher {key}", lambda: Matcher(sent.value, window)), batch.num_rows
                 earlier = [[None] * n] * 2 if first else [batch.column(c).to_pylist() for c in ("__spans", "__items")]
                 cells: dict[str, list] = {c: [] for c in (*added, "__spans", "__items")}
-                for body, packed, known in zip(batch.column(text).to_pylist(), *earlier):
+                for body, packed, known in zip(texts_of(batch.column(text)), *earlier):
                     words = words_of(body or "")
                     spans, names = matcher.spans(words)
                     if packed:

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.llm.common import Numbers, held, settle, small_side, table, whole_text
+from finfilings.llm.common import Numbers, held, settle, small_side, table, texts_of, whole_text
 from finfilings.llm.components import connected
 from finfilings.llm.registry import query
 
@@ -158,7 +158,7 @@ def _deal(width: int, parts: int, chunk_tokens: int, id_type: pa.DataType):
         task, k = TaskContext.get().partitionId(), 0
         ids, texts, sets, size = [], [], [], 0
         for batch in batches:
-            for name, key, body in zip(*(batch.column(c).to_pylist() for c in ("id", "key", "body"))):
+            for name, key, body in zip(*(texts_of(batch.column(c)) for c in ("id", "key", "body"))):
                 tokens = shingles(body, width)
                 ids.append(name), texts.append(key), sets.append(tokens)
                 size += len(tokens)
@@ -301,8 +301,8 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, tex
     members = small_side(settle(entries.select("name").distinct()))
 
     def sets_of(batches):
-        for batch in batches:
-            found = [shingles(x, width) for x in batch.column("body").to_pylist()]
+        for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
+            found = [shingles(x, width) for x in texts_of(batch.column("body"))]
             yield pa.RecordBatch.from_arrays([
                 pa.array([digest(s) if len(s) else None for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary()),
             ], names=["name", "tokens"])

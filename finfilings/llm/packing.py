@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finfilings.llm.common import held, settle, table, whole_text
+from finfilings.llm.common import held, settle, table, texts_of, whole_text
 from finfilings.llm.registry import query
 from finfilings.operators.numbering import number_rows
 
@@ -39,6 +39,8 @@ SLACK = 8
 ROUNDS = 5
 #: Words remembered by a tokenising worker.
 WORDS = 400_000
+#: Characters that it splits at a time, about.
+TURN = 500_000
 
 # Texts of these characters only are split here as the tokenizer splits them; they have one
 # form under composition, and lower case changes each letter alone.
@@ -100,16 +102,15 @@ def pieces_of(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, te
     def run(batches):
         found = held(f"tokens {tokenizer}", lambda: Tokens(tokenizer))
         for batch in batches:
-            names, texts = batch.column("id"), batch.column("body").to_pylist()
-            begin = 0
-            while begin < len(texts):
-                end, size = begin, 0
-                while end < len(texts) and size < 2_000_000:
-                    size += len(texts[end])
-                    end += 1
+            names, bodies, begin = batch.column("id"), texts_of(batch.column("body")), 0
+            while begin < batch.num_rows:
+                texts, size = [], 0
+                while begin + len(texts) < batch.num_rows and size < TURN:
+                    texts.append(next(bodies))
+                    size += len(texts[-1])
                 rows, cells = [], {"piece": [], "start": [], "length": [], "crc": []}
                 kept = []
-                for k, own in enumerate(found.of(texts[begin:end]), begin):
+                for k, own in enumerate(found.of(texts), begin):
                     own = np.append(own, np.uint32(END)).astype("<u4")
                     for piece, at in enumerate(range(0, len(own), capacity)):
                         part = own[at:at + capacity]
@@ -124,7 +125,7 @@ def pieces_of(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, te
                 if ids:
                     arrays.append(pa.array(kept, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids)
-                begin = end
+                begin += len(texts)
 
     kind = documents.schema[doc_id].dataType.simpleString()
     return documents.select(F.col(doc_id).alias("id"), whole_text(text).alias("body")).mapInArrow(

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finfilings.llm.common import settle, small_side, stored, whole_text
+from finfilings.llm.common import settle, small_side, stored, texts_of, whole_text
 
 #: Bits of the bitmap of repeated hashes (16 MB), as a power of two.
 MARKS = 27
@@ -79,7 +79,7 @@ def cut_repeats(documents: DataFrame, units: Callable[[str], list[Unit]], least_
 
     def hashes_only(batches):
         for batch in batches:
-            for body in batch.column("body").to_pylist():
+            for body in texts_of(batch.column("body")):
                 found = runs(units(body), least_units, least_words)[0]
                 if len(found):
                     yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy())], names=["h"])
@@ -89,7 +89,7 @@ def cut_repeats(documents: DataFrame, units: Callable[[str], list[Unit]], least_
         bits = marks.value
         for batch in batches:
             hashes, spans, n = [], [], []
-            for body in batch.column("body").to_pylist():
+            for body in texts_of(batch.column("body")):
                 h, c = runs(units(body), least_units, least_words)
                 hit = (bits[(h[:, 0] >> 6) & (len(bits) - 1)] >> (h[:, 0] & 63)) & 1 == 1
                 h, c = h[hit], c[hit]

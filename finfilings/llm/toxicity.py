@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finfilings.llm.common import Numbers, crc_of, held, settle, small_side, table, whole_text
+from finfilings.llm.common import Numbers, crc_of, held, settle, small_side, table, texts_of, whole_text
 from finfilings.llm.registry import query
 
 #: Places that features are hashed to; bounds the size of the weights.
@@ -83,7 +83,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", order: st
     def turn_to_places(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([
-                pa.array([features(x).astype("<i4").tobytes() for x in batch.column("text").to_pylist()], pa.binary()),
+                pa.array([features(x).astype("<i4").tobytes() for x in texts_of(batch.column("text"))], pa.binary()),
                 batch.column("label"), batch.column("turn"),
             ], names=["places", "label", "turn"])
 
@@ -129,7 +129,7 @@ def score(documents: DataFrame, weights: dict[int, float], text: str = "text", n
         w = np.zeros(PLACES + 1)
         w[list(sent.value)] = list(sent.value.values())
         for batch in batches:
-            total = [w[features(x or "")].sum() + w[PLACES] for x in batch.column(text).to_pylist()]
+            total = [w[features(x or "")].sum() + w[PLACES] for x in texts_of(batch.column(text))]
             p = 1.0 / (1.0 + np.exp(-np.clip(np.array(total, float), -35, 35)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(p)], names=[*keep, name])
 
