@@ -147,8 +147,10 @@ def cluster(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
     v = F.col(f"`{vector}`").cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     kept = vectors.select(F.col(f"`{vec_id}`").alias("id"), v.alias("v")).where((F.size("v") == dims) & F.coalesce(finite, F.lit(False)))
-    first = (kept.where("id is not null").groupBy("id").agg(F.min("v").alias("v"))
-             .orderBy(F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")).cast("binary"), 256)).limit(k).collect())  # k rows
+    # k ids, of which only ids are shuffled, then their vectors
+    digest = F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")).cast("binary"), 256)
+    names = settle(kept.where("id is not null").select("id", digest.alias("digest")).distinct().orderBy("digest").limit(k))
+    first = kept.join(F.broadcast(names), "id").groupBy("digest").agg(F.min("v").alias("v")).orderBy("digest").collect()
     id_name = kept.schema["id"].dataType.simpleString()
     if not first:
         return spark.createDataFrame([], f"vec_id {id_name}, cluster int, distance long"), spark.createDataFrame([], "block int, slice binary")

@@ -11,13 +11,23 @@ from pyspark.sql import functions as F
 
 from finfilings.session import settle, small_side, stored
 
-__all__ = ["Numbers", "crc_of", "held", "settle", "small_side", "stored", "table", "texts_of", "whole_text"]
+__all__ = ["Numbers", "crc_of", "dropped", "held", "settle", "small_side", "stored", "table", "texts_of", "whole_text"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def dropped(df: DataFrame) -> None:
+    """Removes a table of :func:`stored` that nothing reads any more, before the session ends."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if not folder.rpartition("/")[2].startswith("table-"):
+            raise ValueError(f"{folder} is not a stored table")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole_text(name: str = "text") -> Column:
     """The text as it is; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -28,20 +28,18 @@ weights are stored in 16 bits, on a scale of logarithms, rounded down.
 
 from __future__ import annotations
 
-import math
 import mmap
 import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.llm.common import Numbers, crc_of, held, stored, table, texts_of, whole_text
+from finfilings.llm.common import Numbers, crc_of, dropped, held, stored, table, texts_of, whole_text
 from finfilings.llm.eliasfano import EliasFano, encode
 from finfilings.llm.registry import query
 
@@ -71,16 +69,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def packed(x: np.ndarray) -> bytes:
-    """Whole numbers from 0, compressed, in the narrowest type that holds them."""
+    """Whole numbers from 0, compressed byte by byte: first all lowest bytes, and so on."""
     most = int(x.max()) if len(x) else 0
-    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
-    return bytes([width]) + zstandard.compress(np.ascontiguousarray(x.astype(f"<u{width}")).tobytes(), 1)
+    width = max(1, -(-most.bit_length() // 8))
+    planes = np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zstandard.compress(planes.tobytes(), 1)
 
 
 def unpacked(cell) -> np.ndarray:
     """What ``packed`` was given, as 64-bit numbers."""
     cell = memoryview(cell)
-    return np.frombuffer(zstandard.decompress(cell[1:]), f"<u{cell[0]}").astype(np.int64)
+    planes = np.frombuffer(zstandard.decompress(cell[1:]), np.uint8).reshape(cell[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :cell[0]] = planes.T
+    return out.view("<i8").ravel()
+
+
+def packed_steps(x: np.ndarray) -> bytes:
+    """Numbers of which neighbours are near each other."""
+    step = np.diff(x, prepend=0)
+    return packed(np.where(step < 0, -2 * step - 1, 2 * step))
+
+
+def unpacked_steps(cell) -> np.ndarray:
+    step = unpacked(cell)
+    return np.cumsum(np.where(step & 1, -(step + 1) // 2, step // 2))
 
 
 def words_of(text: str) -> Iterator[list[bytes]]:
@@ -107,7 +120,11 @@ def _blocks(block_tokens: int, id_type: pa.DataType):
         keys, ids, learn, segments, runs, size = [], [], [], [], [], 0
 
         def flush():
-            words, tokens = np.unique(np.concatenate(runs), return_inverse=True)
+            words, tokens, times = np.unique(np.concatenate(runs), return_inverse=True, return_counts=True)
+            order = np.argsort(-times, kind="stable")  # the most frequent first
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            words, tokens = words[order], rank[tokens]
             return pa.RecordBatch.from_arrays([
                 pa.array([(task << 33) + block], pa.int64()), pa.array([keys], pa.list_(pa.int64())), pa.array([ids], pa.list_(id_type)),
                 *[pa.array([x], pa.binary()) for x in (
@@ -167,6 +184,12 @@ def _cuts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.append(begin[1:], len(x)).astype(np.int64) if len(begin) else begin
 
 
+def _by_hash(words: np.ndarray) -> np.ndarray:
+    """Places of the words in order of their hashes, the begin mark left out."""
+    order = np.argsort(words)
+    return order[np.count_nonzero(words == _BEGIN_HASH):]
+
+
 # --- words ------------------------------------------------------------------------------
 
 
@@ -177,8 +200,8 @@ def _deal_words(parts: int):
             for row in batch.to_pylist():
                 own, words = Block(row), np.frombuffer(row["words"], "<u8")
                 counts = np.bincount(own.t[own.at][own.known[own.at]], minlength=len(words))
-                skip = int(len(words) > 0 and words[0] == _BEGIN_HASH)
-                words, counts = words[skip:], counts[skip:]
+                order = _by_hash(words)
+                words, counts = words[order], counts[order]
                 part = _part(words, parts)
                 cuts = list(zip(*_cuts(part)))
                 yield pa.RecordBatch.from_arrays([
@@ -195,7 +218,8 @@ _ANSWER = "part int, block long, numbers binary, counts binary, n long, v long,
 def _number(parts: int, often: int):
     """Counts and numbers of a part's words, back to each block; and one row about the part.
 
-    Numbers count up within a part and interleave over the parts, so they are nearly dense.
+    Numbers count up within a part, the most frequent words first, and interleave over the
+    parts, so they are nearly dense and small for frequent words.
     """
     def run(group: pa.Table) -> pa.Table:
         part = group.column("part")[0].as_py()
@@ -204,7 +228,9 @@ def _number(parts: int, often: int):
         distinct, at = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(at, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
         known = total > 0
-        numbers = np.where(known, (np.cumsum(known) - 1) * parts + part + FIRST, UNKNOWN)
+        rank = np.empty(len(total), np.int64)
+        rank[np.argsort(-total, kind="stable")] = np.arange(len(total))
+        numbers = np.where(known, rank * parts + part + FIRST, UNKNOWN)
         cells, begin = {"numbers": [], "counts": []}, 0
         for own in words:
             i = at[begin:begin + len(own)]
@@ -227,11 +253,11 @@ def _numbered(block: pa.Table, answers: pa.Table) -> pa.Table:
     """A block with numbers and counts of its words in place of the hashes."""
     row = block.to_pylist()[0]
     rows = sorted(answers.select(["part", "numbers", "counts"]).to_pylist(), key=lambda r: r["part"])
-    begin = np.frombuffer(row["words"], "<u8", min(1, len(row["words"]) // 8))
-    first = [np.array([BEGIN])] if len(begin) and begin[0] == _BEGIN_HASH else []
-    zero = [np.array([0])] if first else []
-    numbers = np.concatenate([*first, *(unpacked(r["numbers"]) for r in rows)])
-    counts = np.concatenate([*zero, *(unpacked(r["counts"]) for r in rows)])
+    words = np.frombuffer(row["words"], "<u8")
+    numbers, counts = np.full(len(words), BEGIN), np.zeros(len(words), np.int64)
+    order = _by_hash(words)
+    numbers[order] = np.concatenate([unpacked(r["numbers"]) for r in rows])
+    counts[order] = np.concatenate([unpacked(r["counts"]) for r in rows])
     return block.drop(["words", "n"]).append_column("numbers", pa.array([packed(numbers)], pa.binary())).append_column(
         "counts", pa.array([packed(counts)], pa.binary()))
 
@@ -290,19 +316,21 @@ def _deal_trigrams(shards: int, often: dict[int, int], total: int, id_type: pa.D
             begin, end = _cuts(key)
             key, places = key[begin], end - begin
             seen = np.add.reduceat(own.learn[d].astype(np.int64), begin) if len(begin) else begin
-            middle, before, word = ((key >> s) & _MASK for s in (_BITS + _BITS, _BITS, np.uint64(0)))
-            shard = _shard(numbers[middle], numbers[before], often, shards)
-            order = np.argsort(shard, kind="stable")
+            own_counts = counts[key & _MASK]
+            middle, before, word = (numbers[(key >> s) & _MASK] for s in (_BITS + _BITS, _BITS, np.uint64(0)))
+            shard = _shard(middle, before, often, shards)
+            order = np.lexsort((word, before, middle, shard))
             for a, b in zip(*_cuts(shard[order])):
                 i = order[a:b]
                 n = places[i]
                 inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[i], n)
+                _, distinct = np.unique(word[i], return_index=True)
                 rows.append({
-                    "shard": int(shard[i[0]]), "block": row["block"], "middle": packed(numbers[middle[i]]), "before": packed(numbers[before[i]]),
-                    "word": packed(numbers[word[i]]), "counts": packed(counts[word[i]]), "seen": packed(seen[i]), "places": packed(n), "docs": packed(d[inner]),
+                    "shard": int(shard[i[0]]), "block": row["block"], "middle": packed_steps(middle[i]), "before": packed_steps(before[i]),
+                    "word": packed(word[i]), "counts": packed(own_counts[i[distinct]]), "seen": packed(seen[i]), "places": packed(n), "docs": packed(d[inner]),
                 })
-            for k in range(0, len(rows), 64):
-                yield _batch(rows[k:k + 64], id_type)
+            for k in range(0, len(rows), 16):
+                yield _batch(rows[k:k + 16], id_type)
 
     return run
 
@@ -442,33 +470,35 @@ def _answer(total: int, discount: float, id_type: pa.DataType):
         is_head, is_follower = group.column("keys").is_valid().to_numpy(), group.column("block").is_null().to_numpy()
         rows = np.flatnonzero(~is_head & ~is_follower)
 
-        def cells(name: str, some) -> list[np.ndarray]:
-            column = group.column(name)
-            return [unpacked(column[int(k)].as_buffer()) for k in some]
+        def cell(name: str, k: int) -> np.ndarray:
+            read = unpacked_steps if name in ("middle", "before") else unpacked
+            return read(group.column(name)[int(k)].as_buffer())
 
         counted = [[], [], [], []]
         for k in rows:
-            seen = unpacked(group.column("seen")[int(k)].as_buffer())
+            seen = cell("seen", k)
             learnt = seen > 0
             if learnt.any():
                 for x, name in zip(counted, ("middle", "before", "word")):
-                    x.append(unpacked(group.column(name)[int(k)].as_buffer())[learnt])
+                    x.append(cell(name, k)[learnt])
                 counted[3].append(seen[learnt])
         counted = [np.concatenate(x) if x else np.empty(0, np.int64) for x in counted]
         extra = np.flatnonzero(is_follower)
         followers = None
         if len(extra):
-            words, seen, names = cells("word", extra), cells("seen", extra), cells("middle", extra)
-            followers = (np.repeat(np.concatenate(names), [len(w) for w in words]), np.concatenate(words), np.concatenate(seen))
+            words = [cell("word", k) for k in extra]
+            names = np.concatenate([cell("middle", k) for k in extra])
+            followers = (np.repeat(names, [len(w) for w in words]), np.concatenate(words), np.concatenate([cell("seen", k) for k in extra]))
         levels = build(*counted, followers, discount)
         del counted, followers
         trie = Trie(mapped(levels))
         del levels
         out = []
         for k in map(int, rows):
-            row = {c: unpacked(group.column(c)[k].as_buffer()) for c in ("middle", "before", "word", "counts", "places", "docs")}
-            p = trie.probability(row["middle"], row["before"], row["word"], (row["counts"] + 1) / total)
-            sums = np.bincount(row["docs"], weights=np.repeat(np.log10(p), row["places"]))
+            word = cell("word", k)
+            _, at = np.unique(word, return_inverse=True)
+            p = trie.probability(cell("middle", k), cell("before", k), word, (cell("counts", k)[at] + 1) / total)
+            sums = np.bincount(cell("docs", k), weights=np.repeat(np.log10(p), cell("places", k)))
             some = np.flatnonzero(sums)
             out.append({"block": group.column("block")[k].as_py(), "docs": packed(some), "score": sums[some].tobytes()})
         heads = group.filter(pa.array(is_head)).drop(["shard", *(c for c in _CELLS[:7])])
@@ -529,6 +559,8 @@ def score_texts(documents: DataFrame, learn: Column, text: str = "text", doc_id:
     numbered = stored(blocks.groupBy("block").cogroup(answers.where("block is not null").groupBy("block")).applyInArrow(
         _numbered, _BLOCKS.format(id=id_name).replace("words binary, n long", "numbers binary, counts binary")))
 
+    dropped(blocks)
+    dropped(answers)
     dealt = numbered.mapInArrow(_deal_trigrams(shards, split, total, id_type), _ROWS.format(id=id_name))
     if split:
         followers = numbered.mapInArrow(_deal_followers(split), "middle long, part long, word binary, seen binary")
@@ -546,7 +578,7 @@ def _to_shards(split: dict[int, int], shards: int):
         for row in (r for batch in batches for r in batch.to_pylist()):
             first = int(mixed(np.array([row["middle"]], np.uint64))[0] % np.uint64(shards))
             to = sorted({(first + k) % shards for k in range(split[row["middle"]])})
-            cell = packed(np.array([row["middle"]]))
+            cell = packed_steps(np.array([row["middle"]]))
             for k in range(0, len(to), 64):
                 n = len(to[k:k + 64])
                 yield pa.RecordBatch.from_arrays([
