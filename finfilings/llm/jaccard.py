@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.llm.common import Numbers, held, settle, small_side, table, texts_of, whole_text
+from finfilings.llm.common import Numbers, dropped, held, small_side, stored, table, texts_of, whole_text
 from finfilings.llm.components import connected
 from finfilings.llm.registry import query
 
@@ -257,8 +257,8 @@ def _common(batches):
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
         ]
         union = [(len(x) + len(y)) // 8 - n for x, y, n in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), shared)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(union, pa.int64())], names=["a", "b", "shared", "all"])
+        names = ["a", "b", "root_a", "root_b"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(shared, pa.int64()), pa.array(union, pa.int64())], names=[*names, "shared", "all"])
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id",
@@ -283,22 +283,22 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, tex
     parts = max(1, -(-int(chars / 6) // max(GROUP, grown)))
     dealt = texts.mapInArrow(_deal(width, parts, max(CHUNK, grown), id_type), _DEALT.format(id=id_name))
     counted = dealt.groupBy("p").applyInArrow(_count, _BACK.format(id=id_name))
-    indexed = settle(counted.groupBy("chunk").applyInArrow(_index(percent, rare, id_type), f"id {id_name}, key long, name binary, size long, alone long, sig long, document boolean"))
+    indexed = stored(counted.groupBy("chunk").applyInArrow(_index(percent, rare, id_type), f"id {id_name}, key long, name binary, size long, alone long, sig long, document boolean"))
 
     entries = indexed.where("not document").groupBy("sig", "name").agg(F.first("size").alias("size"), F.min("alone").alias("alone"))
     # the set of the fewest rare tokens is nearest to the others
     bucket = entries.groupBy("sig").agg(F.count("*").alias("n"), F.min(F.struct("alone", "name", "size")).alias("lead")).where("n > 1").drop("n")
-    entries = settle(entries.join(bucket, "sig"))
+    entries = stored(entries.join(bucket, "sig"))
 
     def promising(sa: str, ua: str, sb: str, ub: str) -> Column:
         """Sizes, and what the tokens of one document only leave to share, allow the similarity."""
         most = F.least(F.col(sa) - F.col(ua), F.col(sb) - F.col(ub))
         return (100 + percent) * most >= percent * (F.col(sa) + F.col(sb))
 
-    stars = settle(entries.where(F.col("name") != F.col("lead.name")).select(
+    stars = stored(entries.where(F.col("name") != F.col("lead.name")).select(
         F.col("lead.name").alias("a"), F.col("name").alias("b"), "size", "alone", F.col("lead.size").alias("lead_size"), F.col("lead.alone").alias("lead_alone"),
     ).where(promising("size", "alone", "lead_size", "lead_alone")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    members = small_side(settle(entries.select("name").distinct()))
+    members = small_side(stored(entries.select("name").distinct()))
 
     def sets_of(batches):
         for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
@@ -307,41 +307,46 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, tex
                 pa.array([digest(s) if len(s) else None for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary()),
             ], names=["name", "tokens"])
 
-    sets = settle(texts.select("body").mapInArrow(sets_of, "name binary, tokens binary").join(members, "name", "left_semi").groupBy("name").agg(F.first("tokens").alias("tokens")))
+    sets = stored(texts.select("body").mapInArrow(sets_of, "name binary, tokens binary").join(members, "name", "left_semi").groupBy("name").agg(F.first("tokens").alias("tokens")))
 
     def compared(pairs: DataFrame) -> DataFrame:
         first, second = (sets.select(F.col("name").alias(n), F.col("tokens").alias(t)) for n, t in (("a", "x"), ("b", "y")))
-        return settle(pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(_common, "a binary, b binary, shared long, all long"))
+        joined = pairs.join(first, "a").join(second, "b").select("a", "b", "root_a", "root_b", "x", "y")
+        return stored(joined.mapInArrow(_common, "a binary, b binary, root_a binary, root_b binary, shared long, all long"))
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        return pairs.where(F.col("shared") * 100 >= F.col("all") * percent).select("a", "b")
-
-    around = compared(stars)
-    links = linked(around)
-    roots = connected(links)
+    similar = F.col("shared") * 100 >= F.col("all") * percent
+    around = compared(stars.select("*", F.col("a").alias("root_a"), F.col("b").alias("root_b")))
+    roots = connected(around.where(similar).select("a", "b"))
     far = 1 - F.col("shared") / F.col("all")
     away = around.select(F.col("a").alias("centre"), F.col("b").alias("name"), far.alias("far")).unionByName(
         around.select(F.col("b").alias("centre"), F.col("a").alias("name"), far.alias("far")))
     labelled = entries.select("sig", "name", "size", "alone", F.col("lead.name").alias("centre")).join(
         roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     apart = labelled.groupBy("sig").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("sig")
-    open_ = settle(labelled.join(apart, "sig", "left_semi").join(away, ["centre", "name"], "left").withColumn(
+    opened = stored(labelled.join(apart, "sig", "left_semi").join(away, ["centre", "name"], "left").withColumn(
         "far", F.when(F.col("centre") == F.col("name"), 0.0).otherwise(F.col("far"))))
     # the smallest few of a set's open buckets: a pair is compared in the first that both remember
-    few = open_.groupBy("name").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, FIRST).alias("few"))
-    open_ = settle(open_.join(few, "name"))
+    few = opened.groupBy("name").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, FIRST).alias("few"))
+    open_ = opened.join(few, "name")
     left, right = (open_.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in ("name", "size", "alone", "root", "far", "few")]) for s in "ab")
     both = F.array_intersect("few_a", "few_b")
     pairs = left.join(right, "sig").where(
         (F.col("name_a") < F.col("name_b")) & (F.col("root_a") != F.col("root_b")) & promising("size_a", "alone_a", "size_b", "alone_b")
         & F.coalesce(F.abs(F.col("far_a") - F.col("far_b")) <= 1 - percent / 100 + 1e-9, F.lit(True))
         & ((F.size(both) == 0) | (F.array_min(both) == F.col("sig")))
-    ).select(F.col("name_a").alias("a"), F.col("name_b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(linked(compared(pairs)))
-    roots = connected(links)
+    ).select(*[F.col(f"name_{c}").alias(c) for c in "ab"], "root_a", "root_b").distinct().join(stars, ["a", "b"], "left_anti")
+    # what else links joins whole components, so only their roots go on
+    across = compared(pairs)
+    more = across.where(similar).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
 
     rows = indexed.where("document").select("id", "key", "name", "size")
-    placed = settle(rows.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name")))
+    placed = rows.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
+    if not more.isEmpty():
+        joined = connected(more).select(F.col("node").alias("root"), F.col("root").alias("joined"))
+        placed = placed.join(joined, "root", "left").withColumn("root", F.coalesce("joined", "root")).drop("joined")
+    placed = stored(placed)
+    for used in (indexed, entries, stars, sets, around, opened, across):
+        dropped(used)
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
     least = placed.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"), F.min(order).alias("lead"))
     return placed.join(least, "root", "left").select(
