@@ -44,7 +44,7 @@ from finfilings.llm.eliasfano import EliasFano, encode
 from finfilings.llm.registry import query
 
 #: Tokens of a block, and of a shard.
-BLOCK, SHARD = 1 << 20, 1 << 21
+BLOCK, SHARD = 1 << 19, 3 << 19
 #: Taken off each count of two or three words.
 DISCOUNT = 0.75
 #: Steps of a stored logarithm in a power of ten.
@@ -163,9 +163,10 @@ class Block:
 
     def __init__(self, row: dict):
         self.learn = unpacked(row["learn"]).astype(bool)
-        self.t = unpacked(row["tokens"])
+        held("block", dict)  # nothing is kept of words met while texts were read
+        self.t = unpacked(row["tokens"]).astype(np.int32)
         lengths = unpacked(row["lengths"])
-        self.d = np.repeat(unpacked(row["segments"]), lengths)
+        self.d = np.repeat(unpacked(row["segments"]).astype(np.int32), lengths)
         scored = np.ones(len(self.t), bool)
         begin = np.cumsum(lengths) - lengths
         scored[begin], scored[begin + 1] = False, False
@@ -303,7 +304,7 @@ def _deal_trigrams(shards: int, often: dict[int, int], total: int, id_type: pa.D
             token = own.t[at]
             logs = np.log10((counts + 1) / total)
             sums = lambda x, some=slice(None): np.bincount(d[some], weights=x, minlength=n_docs)
-            fallen = numbers[own.t[at - 1]] == UNKNOWN
+            fallen = (numbers == UNKNOWN)[own.t[at - 1]]
             rows = [{
                 "shard": row["block"] % shards, "block": row["block"], "keys": row["keys"], "ids": row["ids"],
                 "tokens": packed(np.bincount(d, minlength=n_docs)), "known": packed(sums(counts[token] > 0)),
@@ -313,6 +314,7 @@ def _deal_trigrams(shards: int, often: dict[int, int], total: int, id_type: pa.D
             key = (own.t[at - 1].astype(np.uint64) << (_BITS + _BITS)) | (own.t[at - 2].astype(np.uint64) << _BITS) | own.t[at].astype(np.uint64)
             order = np.argsort(key, kind="stable")
             key, d = key[order], d[order]
+            del order, at, token, logs, fallen
             begin, end = _cuts(key)
             key, places = key[begin], end - begin
             seen = np.add.reduceat(own.learn[d].astype(np.int64), begin) if len(begin) else begin
@@ -329,6 +331,7 @@ def _deal_trigrams(shards: int, often: dict[int, int], total: int, id_type: pa.D
                     "shard": int(shard[i[0]]), "block": row["block"], "middle": packed_steps(middle[i]), "before": packed_steps(before[i]),
                     "word": packed(word[i]), "counts": packed(own_counts[i[distinct]]), "seen": packed(seen[i]), "places": packed(n), "docs": packed(d[inner]),
                 })
+            del key, begin, middle, before, word, own_counts, shard, order, places, seen, d
             for k in range(0, len(rows), 16):
                 yield _batch(rows[k:k + 16], id_type)
 
@@ -391,7 +394,10 @@ def build(middle, before, word, seen, followers=None, discount: float = DISCOUNT
     top = 1 + max((int(x.max()) for x in (before, word, *((followers[1],) if followers else ())) if len(x)), default=0)
     own, a = np.unique(middle, return_inverse=True)
     contexts, j = np.unique(a * top + before, return_inverse=True)
-    trigram, at = np.unique(j * top + word, return_inverse=True)
+    key = j * top + word
+    del j, a, middle, before, word
+    trigram, at = np.unique(key, return_inverse=True)
+    del key
     count = np.bincount(at, weights=seen).astype(np.int64) if len(at) else np.empty(0, np.int64)
     j, last = trigram // top, trigram % top
     head = contexts // top
@@ -474,6 +480,7 @@ def _answer(total: int, discount: float, id_type: pa.DataType):
             read = unpacked_steps if name in ("middle", "before") else unpacked
             return read(group.column(name)[int(k)].as_buffer())
 
+        held("shard", dict)
         counted = [[], [], [], []]
         for k in rows:
             seen = cell("seen", k)
