@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from finfilings.session import settle, small_side, stored
 
-__all__ = ["Numbers", "crc_of", "dropped", "held", "settle", "small_side", "stored", "table", "texts_of", "whole_text"]
+__all__ = ["Numbers", "crc_of", "dropped", "held", "released", "settle", "small_side", "stored", "table", "texts_of", "whole_text"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +46,7 @@ class Numbers(dict):
     many partitions does not grow with the vocabulary.
     """
 
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -62,6 +63,15 @@ def texts_of(column: pa.Array, rows: int = 128) -> Iterator[str | None]:
         yield from column.slice(begin, rows).to_pylist()
 
 
+def released() -> None:
+    """Gives back to the machine what a Python worker has freed; where the C library cannot,
+    only Arrow's part.  Workers live on between tasks, with the peak of the last one else."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 _HELD: dict[str, object] = {}
 
 
@@ -70,6 +80,6 @@ def held(name: str, make: Callable[[], object]):
     that served another operator before does not hold that one's memory as well."""
     if name not in _HELD:
         _HELD.clear()
-        pa.default_memory_pool().release_unused()
+        released()
         _HELD[name] = make()
     return _HELD[name]

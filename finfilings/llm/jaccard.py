@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.llm.common import Numbers, dropped, held, small_side, stored, table, texts_of, whole_text
+from finfilings.llm.common import Numbers, dropped, held, released, small_side, stored, table, texts_of, whole_text
 from finfilings.llm.components import connected
 from finfilings.llm.registry import query
 
@@ -41,7 +41,7 @@ RARE = 64
 FIRST = 16
 #: Tokens of a chunk, and of a group whose counts are added up, at least; both grow with
 #: the square root of the corpus, so that their product keeps pace with it.
-CHUNK, GROUP, GROWTH = 1_000_000, 500_000, 40
+CHUNK, GROUP, GROWTH = 500_000, 500_000, 40
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -165,6 +165,7 @@ def _deal(width: int, parts: int, chunk_tokens: int, id_type: pa.DataType):
                 if size >= chunk_tokens or len(ids) == 60_000:
                     yield rows((task << 24) + k, ids, texts, sets)
                     ids, texts, sets, size, k = [], [], [], 0, k + 1
+                    released()
         if ids:
             yield rows((task << 24) + k, ids, texts, sets)
 
@@ -173,6 +174,7 @@ def _deal(width: int, parts: int, chunk_tokens: int, id_type: pa.DataType):
 
 def _count(group: pa.Table) -> pa.Table:
     """Adds up a group's tokens; each chunk gets back those of more than one document."""
+    released()
     cells = {c: group.column(c).to_pylist() for c in ("keys", "counts")}
     rows = [k for k, x in enumerate(cells["keys"]) if x is not None]
     keys = [np.frombuffer(cells["keys"][k], "<u4") for k in rows]
@@ -201,6 +203,7 @@ def _count(group: pa.Table) -> pa.Table:
 def _index(percent: int, rare: int, id_type: pa.DataType):
     """A chunk's documents, and the index keys of its distinct sets."""
     def run(group: pa.Table) -> pa.Table:
+        released()
         cells = {c: group.column(c).to_pylist() for c in group.column_names}
         head = next(k for k, x in enumerate(cells["names"]) if x is not None)
         sizes, names = np.frombuffer(cells["sizes"][head], "<u4").astype(int), cells["names"][head]
@@ -306,6 +309,7 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, tex
             yield pa.RecordBatch.from_arrays([
                 pa.array([digest(s) if len(s) else None for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary()),
             ], names=["name", "tokens"])
+        released()
 
     sets = stored(texts.select("body").mapInArrow(sets_of, "name binary, tokens binary").join(members, "name", "left_semi").groupBy("name").agg(F.first("tokens").alias("tokens")))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finfilings.llm.common import held, settle, table, texts_of, whole_text
+from finfilings.llm.common import held, released, settle, table, texts_of, whole_text
 from finfilings.llm.registry import query
 from finfilings.operators.numbering import number_rows
 
@@ -126,6 +126,7 @@ def pieces_of(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, te
                     arrays.append(pa.array(kept, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids)
                 begin += len(texts)
+        released()
 
     kind = documents.schema[doc_id].dataType.simpleString()
     return documents.select(F.col(doc_id).alias("id"), whole_text(text).alias("body")).mapInArrow(

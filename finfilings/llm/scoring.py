@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.llm.common import Numbers, crc_of, dropped, held, stored, table, texts_of, whole_text
+from finfilings.llm.common import Numbers, crc_of, dropped, held, released, stored, table, texts_of, whole_text
 from finfilings.llm.eliasfano import EliasFano, encode
 from finfilings.llm.registry import query
 
@@ -143,6 +143,7 @@ def _blocks(block_tokens: int, id_type: pa.DataType):
                     context, size = runs[-1][-2:], size + len(h)
                     if size >= block_tokens:
                         yield flush()
+                        released()
                         block += 1
                         keys, ids, learn, segments, runs, size = keys[-1:], ids[-1:], learn[-1:], [], [], 0
                 runs.append(np.append(context, _END_HASH)), segments.append(len(keys) - 1)
@@ -298,6 +299,7 @@ def _deal_trigrams(shards: int, often: dict[int, int], total: int, id_type: pa.D
     """
     def run(batches):
         for row in (r for batch in batches for r in batch.to_pylist()):
+            released()
             own, n_docs = Block(row), len(row["keys"])
             numbers, counts = unpacked(row["numbers"]), unpacked(row["counts"])
             at, d = own.at, own.d[own.at]
@@ -481,6 +483,7 @@ def _answer(total: int, discount: float, id_type: pa.DataType):
             return read(group.column(name)[int(k)].as_buffer())
 
         held("shard", dict)
+        released()
         counted = [[], [], [], []]
         for k in rows:
             seen = cell("seen", k)

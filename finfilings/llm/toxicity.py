@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finfilings.llm.common import Numbers, crc_of, held, settle, small_side, table, texts_of, whole_text
+from finfilings.llm.common import Numbers, crc_of, held, released, settle, small_side, table, texts_of, whole_text
 from finfilings.llm.registry import query
 
 #: Places that features are hashed to; bounds the size of the weights.
@@ -132,6 +132,7 @@ def score(documents: DataFrame, weights: dict[int, float], text: str = "text", n
             total = [w[features(x or "")].sum() + w[PLACES] for x in texts_of(batch.column(text))]
             p = 1.0 / (1.0 + np.exp(-np.clip(np.array(total, float), -35, 35)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(p)], names=[*keep, name])
+        released()
 
     frame = documents.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])
     return frame.mapInArrow(run, T.StructType([frame.schema[c] for c in keep] + [T.StructField(name, T.DoubleType())]))
