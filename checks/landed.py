@@ -7,16 +7,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.base import ORACLES, as_double, lines_with_head, query, table
-from checks.filings import INSTITUTION_SQL, filing_lines, institution_list_lines
+from checks.base import ORACLES, as_double, lines_with_head, money_text, month_text, query, table
+from checks.filings import ACCOUNTS, DOCUMENT_OF_LINE, INSTITUTION_SQL, TYPE_OF_STATUS, _pick, filing_lines, institution_list_lines
 from checks.tables import registry_lines, value_lines
-from finfilings.functions.names import safe_name
+from finfilings.functions.names import file_period, file_type, plain_file_name, safe_name
 from finfilings.operators.sinks import balance_folder, land
-from finfilings.plans.balances import import_balance_sheets, tidy_balance_sheets
-from finfilings.plans.indicators import get_ifdata_registry, get_ifdata_values, land_values
+from finfilings.plans.balances import import_balance_sheets, read_balance_sheets, tidy_balance_sheets
+from finfilings.plans.indicators import (
+    get_ifdata_registry,
+    get_ifdata_values,
+    land_registry,
+    land_values,
+    read_ifdata_registry,
+    read_ifdata_values,
+)
 from finfilings.plans.institutions import tidy_institutions
 from finfilings.session import checkpoint_dir
 from finfilings.sources.landing import balance_files
+from finfilings.vocab import VALUE_COLUMNS
 
 
 def _folder(spark: SparkSession, what: str) -> str:
@@ -53,6 +61,11 @@ def _summed(long: DataFrame) -> DataFrame:
     return long.groupBy(*keys).agg(F.count("*").alias("n_rows"), as_double(F.sum("saldo")).alias("saldo"))
 
 
+def landed_bytes(files: DataFrame) -> str:
+    """Rows ``file_name, content`` as files of these bytes (and a line feed); returns the folder."""
+    return landed(files.select("file_name", F.lit(0).alias("pos"), F.col("content").cast("string").alias("line")))
+
+
 @query(ORACLES["long_filing"])
 def landed_balances(spark, sf_dir):
     """lineitem landed as one balance sheet per month and type, imported file by file."""
@@ -148,3 +161,139 @@ def landed_once(spark, sf_dir):
     for _ in range(2):
         land(items, out, ["flag"])
     return spark.read.parquet(out).groupBy("flag").agg(F.count("*").alias("n_rows"), as_double(F.sum("price")).alias("price"))
+
+
+def _broken_names(spark, sf_dir) -> DataFrame:
+    """lineitem as balance sheets with names over two lines, and names that open a quote for good."""
+    items = table(spark, sf_dir, "lineitem")
+    month, key = month_text(F.col("l_shipdate")), F.col("l_suppkey").cast("string")
+    name = F.when(F.col("l_linenumber").isin(2, 4), F.concat(F.lit('"INSTITUIÇÃO; \nNº ""'), key, F.lit('"""'))).when(
+        F.col("l_linenumber") == 7, F.concat(F.lit('"ABERTA '), key)).otherwise(key)
+    line = F.concat_ws(";", month, _pick("l_linenumber", DOCUMENT_OF_LINE), key, name, _pick("l_returnflag", ACCOUNTS), money_text(F.col("l_extendedprice")))
+    body = items.select(
+        F.concat(month, F.lit("_"), _pick("l_linestatus", TYPE_OF_STATUS), F.lit(".CSV")).alias("file_name"), F.col("l_orderkey").alias("pos"), line.alias("line"))
+    return lines_with_head(body, lambda: [F.lit('banner with a "'), F.lit("#DATA_BASE;DOCUMENTO;CNPJ;NOME_INSTITUICAO;CONTA;SALDO")])
+
+
+BREAKS_SQL = """
+    SELECT inst_type, data, what, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) FILTER (l_linenumber IN (2, 4)) AS BIGINT) AS n_breaks,
+           round(CAST(sum(CASE WHEN what = 'row' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE), 2) AS saldo
+    FROM (SELECT *, CASE l_linestatus WHEN 'F' THEN 'BANCOS' ELSE 'COOPERATIVAS' END AS inst_type, strftime(l_shipdate, '%Y%m') AS data,
+                 CASE l_linenumber WHEN 7 THEN 'reject' ELSE 'row' END AS what FROM lineitem)
+    GROUP BY 1, 2, 3
+"""
+
+
+def _rows_and_rejects(spark, folder: str, **options) -> DataFrame:
+    rows, rejects = read_balance_sheets(spark, folder, **options)
+    rows = rows.groupBy("inst_type", "data", F.lit("row").alias("what")).agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("nome_instituicao").contains("\n")).alias("n_breaks"), as_double(F.sum("saldo")).alias("saldo"))
+    name = plain_file_name(F.col("file_name"))
+    rejects = rejects.groupBy(file_type(name).alias("inst_type"), file_period(name).alias("data"), F.lit("reject").alias("what")).agg(
+        F.count_if(F.col("record").contains("ABERTA")).alias("n_rows"), F.lit(0).cast("bigint").alias("n_breaks"), F.lit(None).cast("double").alias("saldo"))
+    return rows.unionByName(rejects)
+
+
+@query(BREAKS_SQL)
+def landed_breaks(spark, sf_dir):
+    """Quoted names over two lines are one record; a quote that is never closed is a reject."""
+    return _rows_and_rejects(spark, landed(_broken_names(spark, sf_dir)))
+
+
+@query(BREAKS_SQL)
+def landed_breaks_by_line(spark, sf_dir):
+    """The same files read line by line, records put together over lines and splits."""
+    return _rows_and_rejects(spark, landed(_broken_names(spark, sf_dir)), whole_file_bytes=0)
+
+
+def _in_many_forms(lines: DataFrame) -> DataFrame:
+    """Files ``file_name, content``: of banks the file beside a damaged archive of it, of the
+    others the same member in two archives."""
+    def run(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        def forms(name, rows):
+            text, data = "\n".join(rows).encode("latin-1"), io.BytesIO()
+            with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as bundle:
+                bundle.writestr(name, text)
+            whole = data.getvalue()
+            if "COOPERATIVAS" in name:
+                return [(f"one_{name}.ZIP", whole), (f"two_{name}.ZIP", whole)]
+            middle = 30 + len(name) + (len(whole) - 130 - 2 * len(name)) // 2
+            return [(name, text), (f"{name}.ZIP", whole[:middle] + bytes([whole[middle] ^ 0x55]) + whole[middle + 1:])]
+
+        now, held = None, []
+        for batch in batches:
+            for name, line in zip(batch["file_name"], batch["line"]):
+                if name != now:
+                    if held:
+                        yield pd.DataFrame(forms(now, held), columns=["file_name", "content"])
+                    now, held = name, []
+                held.append(line)
+        if held:
+            yield pd.DataFrame(forms(now, held), columns=["file_name", "content"])
+
+    ordered = lines.repartition("file_name").sortWithinPartitions("file_name", "pos")
+    return ordered.select("file_name", "line").mapInPandas(run, "file_name string, content binary")
+
+
+@query(ORACLES["long_filing"])
+def landed_forms(spark, sf_dir):
+    """Periods that landed in several forms: a damaged archive gives way to the file beside
+    it, and a member in two archives counts once."""
+    return _summed(import_balance_sheets(spark, landed_bytes(_in_many_forms(filing_lines(spark, sf_dir)))))
+
+
+@query(ORACLES["long_filing"])
+def landed_forms_by_line(spark, sf_dir):
+    """The same files and members line by line."""
+    return _summed(import_balance_sheets(spark, landed_bytes(_in_many_forms(filing_lines(spark, sf_dir))), whole_file_bytes=0))
+
+
+def _odd_values(spark, sf_dir) -> DataFrame:
+    """Value payloads: those of even months name their columns backwards, one type's records
+    lack the last cell, and a refused request stands beside them."""
+    items = table(spark, sf_dir, "lineitem")
+    cells = [
+        F.col("l_linenumber").cast("string"), F.col("l_suppkey").cast("string"), month_text(F.col("l_shipdate")), F.lit("Report"), F.col("l_returnflag"), F.lit(""),
+        F.col("l_partkey").cast("string"), F.lit("Ativo"), F.lit('"soma, \ntotal"'), F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
+    ]
+    even = F.month("l_shipdate") % 2 == 0
+    line = F.when(even, F.concat_ws(",", *cells[::-1])).otherwise(F.concat_ws(",", *cells))
+    line = F.when(F.col("l_linenumber") == 3, F.regexp_replace(line, ",[^,]*$", "")).otherwise(line)
+    body = items.select(F.concat(F.lit("values_"), month_text(F.col("l_shipdate")), F.lit(".csv")).alias("file_name"), F.col("l_orderkey").alias("pos"), line.alias("line"), even.alias("even"))
+    head = F.when(F.col("even"), ",".join(VALUE_COLUMNS[::-1])).otherwise(",".join(VALUE_COLUMNS))
+    refused = items.limit(1).select(F.lit("refused.csv").alias("file_name"), F.lit(0).cast("bigint").alias("pos"), F.lit("<html>not found</html>").alias("line"))
+    return lines_with_head(body, lambda: [head], "even").unionByName(refused)
+
+
+@query(
+    """
+    SELECT what, period, CAST(count(*) AS BIGINT) AS n_rows, round(CAST(sum(CASE WHEN what = 'row' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE), 2) AS saldo
+    FROM (SELECT *, strftime(l_shipdate, '%Y%m') AS period, CASE l_linenumber WHEN 3 THEN 'reject' ELSE 'row' END AS what FROM lineitem
+          WHERE year(l_shipdate) IN (1995, 1996) AND l_linenumber IN (1, 2, 3)) GROUP BY 1, 2
+    UNION ALL SELECT 'no header line', NULL, 1, NULL
+    """
+)
+def landed_value_rejects(spark, sf_dir):
+    """Payloads with columns in either order are read by name, over line breaks; records that
+    lack a cell and refused requests are rejects; other years' payloads are not opened."""
+    rows, rejects = read_ifdata_values(spark, landed(_odd_values(spark, sf_dir)), [1995, 1996], range(1, 13), (1, 2, 3))
+    rows = rows.groupBy(F.lit("row").alias("what"), F.col("ano_mes").alias("period")).agg(F.count("*").alias("n_rows"), as_double(F.sum("saldo")).alias("saldo"))
+    what = F.when(F.col("record").isNull(), F.col("reason")).otherwise(F.when(F.col("reason") == "9 cells for 10 columns", "reject").otherwise(F.col("reason")))
+    period = F.nullif(F.regexp_extract("file_name", r"values_(\d{6})", 1), F.lit(""))
+    rejects = rejects.groupBy(what.alias("what"), period.alias("period")).agg(F.count("*").alias("n_rows"), F.lit(None).cast("double").alias("saldo"))
+    return rows.unionByName(rejects)
+
+
+@query(ORACLES["ifdata_registry"])
+def landed_registry_table(spark, sf_dir):
+    """The registry landed twice as a table by period and read from there."""
+    rows, _ = read_ifdata_registry(spark, landed(registry_lines(spark, sf_dir)), 2023, 12)
+    out = _folder(spark, "registry")
+    for _ in range(2):
+        land_registry(rows, out)
+    return get_ifdata_registry(spark, out, [2022, 2023], 12)

@@ -13,15 +13,7 @@ from finfilings.operators.grids import balance_grid
 from finfilings.operators.reshape import filter_document, pivot_wide, split_by_type
 from finfilings.operators.sinks import write_long, write_wide_by_type
 from finfilings.session import checkpoint_dir, settle, small_side, stored
-from finfilings.sources.archives import (
-    bad_archives,
-    expand_archive_lines,
-    expand_archives,
-    index_archives,
-    list_members,
-    usable_lines,
-    usable_members,
-)
+from finfilings.functions.values import decode_bytes
 from finfilings.sources.delimited import (
     BALANCES,
     find_headers,
@@ -29,6 +21,7 @@ from finfilings.sources.delimited import (
     parse_payloads,
     reject_lines,
     reject_payloads,
+    split_tagged,
 )
 from finfilings.sources.landing import (
     BALANCE_GLOB,
@@ -39,6 +32,7 @@ from finfilings.sources.landing import (
     forbid_collisions,
     list_files,
 )
+from finfilings.sources.zipped import unpack
 from finfilings.vocab import BALANCE_IDS
 
 # Output column → header name of the balance columns that are kept.
@@ -61,7 +55,7 @@ def _per_file() -> dict:
 
 
 def type_rows(rows: DataFrame) -> DataFrame:
-    """Text rows of the reader with their types."""
+    """Text rows of the reader with their types; tags stay."""
     return rows.select(
         "file_name",
         "inst_type",
@@ -72,39 +66,69 @@ def type_rows(rows: DataFrame) -> DataFrame:
         "nome_instituicao",
         "conta",
         parse_decimal(F.col("saldo")).alias("saldo"),
+        *[c for c in ("reason", "record") if c in rows.columns],
     )
 
 
-def balances_from_payloads(payloads: DataFrame) -> DataFrame:
+def balances_from_payloads(payloads: DataFrame, tagged: bool = False) -> DataFrame:
     """Long balances from one-row-per-file payloads; also runs on a stream."""
-    return type_rows(parse_payloads(payloads, BALANCES, COLUMNS, _per_file()))
+    return type_rows(parse_payloads(payloads, BALANCES, COLUMNS, _per_file(), tagged=tagged))
 
 
-def balances_from_lines(lines: DataFrame, document: int | None = None, headers: DataFrame | None = None) -> DataFrame:
+def balances_from_lines(
+    lines: DataFrame, document: int | None = None, headers: DataFrame | None = None, tagged: bool = False
+) -> DataFrame:
     """Long balances from a line table.  With a document number, lines that do not even
     contain its digits are passed over before they are split."""
     holding = None if document is None else str(document)
-    rows = type_rows(parse_lines(lines, BALANCES, COLUMNS, headers, _per_file(), holding))
-    return rows if document is None else filter_document(rows, document)
+    rows = type_rows(parse_lines(lines, BALANCES, COLUMNS, headers, _per_file(), holding, tagged=tagged))
+    return _of_document(rows, document)
+
+
+def _of_document(rows: DataFrame, document: int | None) -> DataFrame:
+    """Rows of a document, and whatever cannot be read."""
+    if document is None:
+        return rows
+    kept = F.col("documento") == document
+    return rows.where(kept | F.col("reason").isNotNull()) if "reason" in rows.columns else filter_document(rows, document)
 
 
-def balance_sources(spark: SparkSession, path: str) -> DataFrame:
-    """CSV files of a folder and CSV members of its archives, each period's best form only.
+def _archives(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES, contents: bool = True):
+    """Members, small members and lines of large members of a folder's archives; nothing is
+    run where there is none."""
+    if list_files(spark, path, ZIP_GLOB).isEmpty():
+        none = lambda schema: spark.createDataFrame([], schema)
+        return (none("archive string, member string, size bigint, error string"), none("archive string, member string, content binary"),
+                none("archive string, member string, pos bigint, raw binary"))
+    return unpack(spark, path, ZIP_GLOB, whole_file_bytes, CSV_NAME, contents)
+
+
+def balance_forms(spark: SparkSession, path: str, members: DataFrame) -> DataFrame:
+    """CSV files of a folder and sound CSV members of its archives, in the best form that each
+    period has: ``name, file_name, member, size``.
 
     ``name`` is the plain name in upper case, ``file_name`` the file or archive, ``member``
-    null for a file, ``size`` the unpacked size.  Where one name landed in several forms
-    the best of them counts (see ``LANDING_SUFFIXES``); an archive that cannot be opened
-    stands behind no other form.
+    null for a file, ``size`` the unpacked size.  The order of forms is that of
+    ``LANDING_SUFFIXES``.  A member counts only if size and checksum were proven, so a
+    damaged one stands behind every other form.
     """
     files = list_files(spark, path, BALANCE_GLOB).select("file_name", F.lit(None).cast("string").alias("member"), F.col("length").alias("size"))
-    members = list_members(file_payloads(spark, path, ZIP_GLOB)).where("error IS NULL").where(F.col("member").rlike(CSV_NAME))
-    both = files.unionByName(members.select(F.col("archive").alias("file_name"), "member", "size"))
+    sound = members.where("error IS NULL").where(F.col("member").rlike(CSV_NAME))
+    both = files.unionByName(sound.select(F.col("archive").alias("file_name"), "member", "size"))
     suffix = F.regexp_extract("file_name", r"(?i)(\.csv\.zip|\.csv|\.zip)$", 1)
     named = settle(both.withColumns({
         "name": F.upper(plain_file_name(F.coalesce("member", "file_name"))), "rank": suffix_rank(suffix),
     }))
     best = named.groupBy("name").agg(F.min("rank").alias("rank"))
-    return settle(named.join(best, ["name", "rank"]).drop("rank"))
+    return named.join(best, ["name", "rank"]).drop("rank")
+
+
+def balance_sources(spark: SparkSession, path: str, members: DataFrame | None = None) -> DataFrame:
+    """One form of each period: of equal forms that of the first file name counts."""
+    if members is None:
+        members = _archives(spark, path, contents=False)[0]
+    first = F.min(F.struct("file_name", "member", "size")).alias("first")
+    return settle(balance_forms(spark, path, members).groupBy("name").agg(first).select("name", "first.*"))
 
 
 def import_balance_sheets(
@@ -114,14 +138,30 @@ def import_balance_sheets(
 
     Files and members are parsed one per row up to ``whole_file_bytes`` (of members: the
     unpacked size) and line by line above; the rows are the same.  With a ``document`` only
-    its rows are returned, and long files' other lines are passed over unsplit.
+    its rows are returned, and long files' other lines are passed over unsplit.  Quoted
+    cells may hold line breaks.  Archives are read once; a period whose archive is damaged
+    comes from its next form.
     """
-    sources = balance_sources(spark, path)
-    small, zipped = _small_payloads(spark, path, whole_file_bytes, sources)
-    out = balances_from_payloads(small).unionByName(balances_from_payloads(zipped))
-    out = out if document is None else filter_document(out, document)
-    for lines in _large_sources(spark, path, whole_file_bytes, sources):
-        rows = balances_from_lines(lines, document)
+    return _imported(spark, path, whole_file_bytes, document, False)
+
+
+def read_balance_sheets(
+    spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES, document: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`import_balance_sheets` and the records that give none (``file_name,
+    reason, record``: its first line), from one pass that stores both."""
+    return split_tagged(_imported(spark, path, whole_file_bytes, document, True))
+
+
+def _imported(spark, path, whole_file_bytes, document, tagged, archives=None) -> DataFrame:
+    archives = archives or _archives(spark, path, whole_file_bytes)
+    sources = balance_sources(spark, path, archives[0])
+    out = None
+    for payloads in _small_payloads(spark, path, whole_file_bytes, sources, archives[1]):
+        rows = _of_document(balances_from_payloads(payloads, tagged), document)
+        out = rows if out is None else out.unionByName(rows)
+    for lines in _large_sources(spark, path, whole_file_bytes, sources, archives[2]):
+        rows = balances_from_lines(lines, document, tagged=tagged)
         out = out.unionByName(rows.withColumn("file_name", base_name(F.col("file_name"))))
     return out
 
@@ -131,18 +171,20 @@ def _of_files(df: DataFrame, sources: DataFrame) -> DataFrame:
     return df.join(wanted, "file_name", "left_semi")
 
 
-def _of_members(df: DataFrame, sources: DataFrame, member: str) -> DataFrame:
-    wanted = small_side(settle(sources.where("member IS NOT NULL").select(F.col("file_name").alias("archive"), F.col("member").alias(member))))
-    return df.join(wanted, ["archive", member], "left_semi")
+def _of_members(df: DataFrame, sources: DataFrame) -> DataFrame:
+    wanted = small_side(settle(sources.where("member IS NOT NULL").select(F.col("file_name").alias("archive"), "member")))
+    return df.join(wanted, ["archive", "member"], "left_semi")
 
 
-def _small_payloads(spark, path, whole_file_bytes, sources) -> tuple[DataFrame, DataFrame]:
+def _small_payloads(spark, path, whole_file_bytes, sources, unpacked) -> list[DataFrame]:
     small = file_payloads(spark, path, BALANCE_GLOB, max_bytes=whole_file_bytes).select("file_name", "content")
-    members = expand_archives(file_payloads(spark, path, ZIP_GLOB), max_member_bytes=whole_file_bytes)
-    return _of_files(small, sources), usable_members(_of_members(members, sources, "member"))
+    out = [_of_files(small, sources)]
+    if not sources.where("member IS NOT NULL").isEmpty():
+        out.append(_of_members(unpacked, sources).select(base_name(F.col("member")).alias("file_name"), "content"))
+    return out
 
 
-def _large_sources(spark, path, whole_file_bytes, sources) -> list[DataFrame]:
+def _large_sources(spark, path, whole_file_bytes, sources, unpacked) -> list[DataFrame]:
     """Line tables of what is above the size, stored; none if there is nothing."""
     large = sources.where(F.col("size") > whole_file_bytes)
     out = []
@@ -150,11 +192,17 @@ def _large_sources(spark, path, whole_file_bytes, sources) -> list[DataFrame]:
         lines = file_lines(spark, path, BALANCE_GLOB, charset=BALANCES.charset, above_bytes=whole_file_bytes)
         out.append(_of_files(lines, sources))
     if not large.where("member IS NOT NULL").isEmpty():
-        lines = expand_archive_lines(file_payloads(spark, path, ZIP_GLOB), above_member_bytes=whole_file_bytes)
-        out.append(stored(usable_lines(_of_members(lines, sources, "file_name"), BALANCES.charset)))
+        # files are told apart by archive and member
+        name = F.concat_ws("/", "archive", "member").alias("file_name")
+        out.append(_of_members(unpacked, sources).select(name, "pos", decode_bytes(F.col("raw"), BALANCES.charset).alias("line")))
     return out
 
 
+def _damaged(members: DataFrame) -> DataFrame:
+    """Archives, and members of them, that cannot be read: ``file_name, reason``."""
+    return members.where("error IS NOT NULL").select(F.col("archive").alias("file_name"), F.concat_ws(": ", "member", "error").alias("reason"))
+
+
 def balance_rejects(
     spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES, required=()
 ) -> DataFrame:
@@ -162,18 +210,20 @@ def balance_rejects(
 
     ``required`` names columns whose lack counts as a reason too, though such a file does
     give rows (see :func:`balance_gaps`).  Spark scans pass over files of zero bytes; the
-    landing report shows them as not landed.
+    landing report shows them as not landed.  Single records that cannot be read are told
+    by :func:`read_balance_sheets`.
     """
     names = list_files(spark, path, BALANCE_GLOB)
     bad_name = names.where(file_type(plain_file_name(F.col("file_name"))).isNull())
     out = bad_name.select("file_name", F.lit("file name is not YYYYMM and a type").alias("reason"))
-    out = out.unionByName(bad_archives(index_archives(file_payloads(spark, path, ZIP_GLOB))))
-    sources = balance_sources(spark, path)
-    for payloads in _small_payloads(spark, path, whole_file_bytes, sources):
-        out = out.unionByName(reject_payloads(payloads, BALANCES, required))
-    for lines in _large_sources(spark, path, whole_file_bytes, sources):
-        headers = settle(find_headers(lines, BALANCES))
-        out = out.unionByName(reject_lines(lines, BALANCES, headers, required))
+    members, payloads, lines = _archives(spark, path, whole_file_bytes)
+    out = out.unionByName(_damaged(members))
+    sources = balance_sources(spark, path, members)
+    for found in _small_payloads(spark, path, whole_file_bytes, sources, payloads):
+        out = out.unionByName(reject_payloads(found, BALANCES, required))
+    for found in _large_sources(spark, path, whole_file_bytes, sources, lines):
+        headers = settle(find_headers(found, BALANCES))
+        out = out.unionByName(reject_lines(found, BALANCES, headers, required))
     return out
 
 
@@ -183,13 +233,14 @@ def balance_gaps(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_F
     return found.where(F.col("reason").startswith("missing columns: "))
 
 
-def long_balances(spark: SparkSession, path: str, doc_filter: int = 4010, **options) -> DataFrame:
+def long_balances(spark: SparkSession, path: str, doc_filter: int = 4010, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """Long balances of one document, names checked for collisions first."""
-    sources = balance_sources(spark, path)
-    if sources.isEmpty():
+    archives = _archives(spark, path, whole_file_bytes)
+    forms = settle(balance_forms(spark, path, archives[0]))
+    if forms.isEmpty():
         balance_files(spark, path)
-    forbid_collisions(sources.select(F.concat_ws("/", "file_name", "member").alias("file_name")))
-    return import_balance_sheets(spark, path, document=doc_filter, **options)
+    forbid_collisions(forms.select(F.concat_ws("/", "file_name", "member").alias("file_name")))
+    return _imported(spark, path, whole_file_bytes, doc_filter, False, archives)
 
 
 def forbid_missing_columns(long: DataFrame, spark: SparkSession, path: str, **options) -> DataFrame:
@@ -270,12 +321,12 @@ def get_balance_sheets(
     """
     grid = balance_grid(spark, institution, months, first_year, final_year)
     files = list_files(spark, path, BALANCE_GLOB).select("file_name")
-    members = settle(index_archives(file_payloads(spark, path, ZIP_GLOB)))
+    members = _archives(spark, path, contents=False)[0]
     landed = files.unionByName(
         members.where("error IS NULL").select(F.substring_index("member", "/", -1).alias("file_name"))
     )
     # a damaged archive stands for the file of its own name
-    damaged = bad_archives(members).withColumn(
+    damaged = _damaged(members).withColumn(
         "file_name", F.concat(F.regexp_extract("file_name", r"(?i)^(.*?)(\.csv)?\.zip$", 1), F.lit(".CSV"))
-    )
+    ).groupBy("file_name").agg(F.min("reason").alias("reason"))
     return landing_report(grid, landed.unionByName(damaged.select("file_name")), damaged)

@@ -12,7 +12,6 @@ from finfilings.operators.grids import institution_grid
 from finfilings.operators.reshape import split_by_type
 from finfilings.operators.sinks import write_institutions
 from finfilings.session import settle, stored
-from finfilings.sources.archives import index_archives
 from finfilings.sources.delimited import (
     INSTITUTIONS,
     find_headers,
@@ -20,6 +19,7 @@ from finfilings.sources.delimited import (
     reject_lines,
 )
 from finfilings.sources.landing import BALANCE_GLOB, file_lines, file_payloads, institution_files
+from finfilings.sources.zipped import archive_members
 from finfilings.sources.workbooks import bad_workbooks, sheet_lines, usable_sheets
 
 
@@ -117,14 +117,12 @@ def get_institutions(spark: SparkSession, path: str, institution, start_date, en
     An archive that was already unpacked and cleaned away counts by its member.
     """
     grid = institution_grid(spark, institution, start_date, end_date)
-    archives = file_payloads(spark, path, "*.[zZ][iI][pP]")
-    members = settle(index_archives(archives))
+    members = archive_members(spark, path)
     name = plain_file_name(F.col("file_name"))
     archive = F.concat(file_type(name), F.lit("_"), file_period(name), F.lit(".zip"))
     unpacked = institution_files(spark, path, ignore_case=True).select(archive.alias("file_name"))
     unpacked = unpacked.where("file_name IS NOT NULL")
     landed = members.select(F.col("archive").alias("file_name")).distinct().unionByName(unpacked)
-    damaged = members.where("error IS NOT NULL").select(
-        F.col("archive").alias("file_name"), F.col("error").alias("reason")
-    )
+    damaged = members.where("error IS NOT NULL").groupBy(F.col("archive").alias("file_name")).agg(
+        F.min(F.concat_ws(": ", "member", "error")).alias("reason"))
     return landing_report(grid, landed, damaged)

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from finfilings.functions.names import clean_name, unique_names
 from finfilings.functions.values import decode_bytes, null_text
-from finfilings.session import BROADCAST_BYTES, settle, small_side
+from finfilings.session import BROADCAST_BYTES, settle, small_side, stored
+from finfilings.sources.records import broken_record, join_records, may_open, opens, split_records
 
 
 @dataclass(frozen=True)
@@ -160,20 +161,20 @@ def with_layout(df: DataFrame, layout: Layout) -> DataFrame:
 
 
 def find_headers(lines: DataFrame, layout: Layout) -> DataFrame:
-    """One row per file with a header: ``file_name, header_pos, header, sep, names``.
+    """One row per file with a header: ``file_name, header_pos, header, odd, sep, names``.
 
-    Only lines that pass the header test reach the aggregate, so the shuffle moves a
-    few rows per file whatever the files' sizes.
+    Only lines that pass the header test, and lines that end inside a quoted cell, reach
+    the aggregate, so the shuffle moves a few rows per file whatever the files' sizes.
+    ``odd`` files have such lines; their records are put together before they are read.
     """
-    # the plain test stays in generated code; tokens are looked at behind a generator
-    near = lines.where(has_words(F.col("line"), layout))
-    hits = near.select(
-        "file_name", "pos", F.explode(F.filter(F.array("line"), lambda line: is_header(line, layout))).alias("line")
-    )
-    first = hits.groupBy("file_name").agg(
-        F.min(F.struct(F.col("pos").alias("header_pos"), F.col("line").alias("header"))).alias("h")
-    )
-    return with_layout(first.select("file_name", "h.*"), layout)
+    # the plain tests stay in generated code; tokens are looked at behind a generator
+    words, left_open = has_words(F.col("line"), layout), opens(F.col("line"), layout.sep) if layout.sep else may_open(F.col("line"))
+    near = lines.where(words | left_open)
+    near = near.select("file_name", "pos", "line", F.explode(F.array(F.struct(is_header(F.col("line"), layout).alias("head"), left_open.alias("open")))).alias("is"))
+    first = near.groupBy("file_name").agg(
+        F.min(F.when(F.col("is.head"), F.struct(F.col("pos").alias("header_pos"), F.col("line").alias("header")))).alias("h"), F.max("is.open").alias("odd")
+    ).where("h is not null")
+    return with_layout(first.select("file_name", "h.*", "odd"), layout)
 
 
 def payload_headers(payloads: DataFrame, layout: Layout) -> DataFrame:
@@ -196,14 +197,19 @@ def _text(charset: str) -> Column:
     return F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
 
 
-def _body_lines(df: DataFrame) -> DataFrame:
-    """Lines after the header of each payload."""
+def _body_lines(df: DataFrame, sep: str | None) -> DataFrame:
+    """Records after the header of each payload, and what is broken about them."""
     framed_text = F.concat(F.lit("\n"), "text", F.lit("\n"))
     framed_head = F.concat(F.lit("\n"), "header", F.lit("\n"))
     start = F.call_function("instr", framed_text, framed_head) + F.length("header") + 1
-    body = F.substr(F.col("text"), start)
     keep = [c for c in df.columns if c not in ("text", "header")]
-    return df.select(*keep, F.explode(F.split(body, "\n")).alias("line"))
+    sep = sep or F.col("sep")
+    body = once(df.select(*keep, F.substr(F.col("text"), start).alias("text")), F.col("text"), "body")
+    odd = F.contains("body", F.lit('"')) & F.exists(F.split("body", "\n"), lambda line: opens(line, sep))
+    body = once(body, odd, "odd")
+    lines = F.when(F.col("odd"), split_records(F.col("body"), sep)).otherwise(F.split("body", "\n"))
+    rows = body.select(*keep, "odd", F.explode(lines).alias("line"))
+    return rows.select(*keep, "line", F.when(F.col("odd"), broken_record(F.col("line"), sep)).alias("broken"))
 
 
 # --- readers --------------------------------------------------------------------------
@@ -219,16 +225,25 @@ def _positions(columns) -> Column:
     )
 
 
-def _read_cells(df: DataFrame, per_file, columns, sep: str | None) -> DataFrame:
-    """Split each line once and pick the wanted cells.
+def _read_cells(df: DataFrame, per_file, columns, sep: str | None, strict: bool = False, tagged: bool = False) -> DataFrame:
+    """Split each record once and pick the wanted cells.
 
     The generator keeps filters on cells from splitting the line again; blank lines go
     after it, so that the test does not move below a table that prints its lines.
+    With ``strict`` a record of more or fewer cells than the header is broken.  Broken
+    records give no rows, unless ``tagged``: then all records come, with the ``reason`` and
+    the first line of the broken ones.
     """
     keep = ["file_name", *per_file]
     cells = once(df, split_cells(F.col("line"), sep or F.col("sep")), "cells")
     cells = cells.where((F.size("cells") > 1) | (F.trim(F.get("cells", F.lit(0))) != ""))
-    return cells.select(*keep, *[null_text(F.get("cells", at)).alias(name) for name, at in columns.items()])
+    reason = F.col("broken")
+    if strict:
+        reason = F.coalesce(reason, F.when(F.size("cells") != F.col("width"), F.format_string("%d cells for %d columns", F.size("cells"), F.col("width"))))
+    found = [null_text(F.get("cells", at)).alias(name) for name, at in columns.items()]
+    if tagged:
+        return cells.select(*keep, *found, reason.alias("reason"), F.when(reason.isNotNull(), F.substring_index("line", "\n", 1)).alias("record"))
+    return cells.where(reason.isNull()).select(*keep, *found)
 
 
 def _by_position(columns) -> dict[str, Column]:
@@ -247,17 +262,19 @@ def _whole_files(heads: DataFrame, per_file) -> DataFrame:
 
 
 def parse_payloads(
-    payloads: DataFrame, layout: Layout, columns: dict[str, str], per_file: dict[str, Column] | None = None
+    payloads: DataFrame, layout: Layout, columns: dict[str, str], per_file: dict[str, Column] | None = None,
+    strict: bool = False, tagged: bool = False,
 ) -> DataFrame:
     """Rows of one-row-per-file payloads, as text columns.
 
     ``columns`` maps output names to header names (upper case, after renaming);
-    ``per_file`` adds columns computed from ``file_name`` once per file.
+    ``per_file`` adds columns computed from ``file_name`` once per file.  ``strict`` and
+    ``tagged``: see :func:`_read_cells`.
     """
     per_file = per_file or {}
     heads = _whole_files(payload_headers(payloads, layout), per_file)
-    heads = heads.select("file_name", *per_file, "text", "header", "sep", _positions(columns).alias("at"))
-    return _read_cells(_body_lines(heads), per_file, _by_position(columns), layout.sep)
+    heads = heads.select("file_name", *per_file, "text", "header", "sep", F.size("names").alias("width"), _positions(columns).alias("at"))
+    return _read_cells(_body_lines(heads, layout.sep), per_file, _by_position(columns), layout.sep, strict, tagged)
 
 
 def parse_lines(
@@ -267,20 +284,38 @@ def parse_lines(
     headers: DataFrame | None = None,
     per_file: dict[str, Column] | None = None,
     holding: str | None = None,
+    strict: bool = False,
+    tagged: bool = False,
 ) -> DataFrame:
     """Rows of a line table, as text columns.
 
     ``headers`` takes a settled result of :func:`find_headers`.  ``holding`` is a text
     that wanted lines are known to contain; others are passed over before they are split.
+    ``strict`` and ``tagged``: see :func:`_read_cells`.
     """
     per_file = per_file or {}
     if headers is None:
         headers = settle(find_headers(lines, layout))
     heads = _whole_files(headers, per_file)
-    heads = small_side(heads.select("file_name", *per_file, "header_pos", "sep", _positions(columns).alias("at")))
-    body = lines.where(F.col("line").contains(holding)) if holding else lines
-    body = body.join(heads, "file_name").where(F.col("pos") > F.col("header_pos"))
-    return _read_cells(body, per_file, _by_position(columns), layout.sep)
+    heads = heads.select("file_name", *per_file, "header_pos", "sep", "odd", F.size("names").alias("width"), _positions(columns).alias("at"))
+    return _read_cells(_records(lines, heads, layout.sep, holding), per_file, _by_position(columns), layout.sep, strict, tagged)
+
+
+def _records(lines: DataFrame, heads: DataFrame, sep: str | None, holding: str | None = None) -> DataFrame:
+    """Lines after the headers; those of odd files are joined to records."""
+    def held(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("line").contains(holding)) if holding else rows
+
+    def after(rows: DataFrame, heads: DataFrame) -> DataFrame:
+        return rows.join(small_side(heads.drop("odd")), "file_name").where(F.col("pos") > F.col("header_pos"))
+
+    none = F.lit(None).cast("string").alias("broken")
+    if heads.where("odd").isEmpty():
+        return after(held(lines), heads).select("*", none)
+    joined = join_records(after(lines, heads.where("odd")), sep or F.col("sep"))
+    if holding:  # what is broken may have held it
+        joined = joined.where(F.col("line").contains(holding) | F.col("broken").isNotNull())
+    return after(held(lines), heads.where("not odd")).select("*", none).unionByName(joined)
 
 
 def _layout_map(headers: DataFrame, max_layouts: int):
@@ -328,11 +363,8 @@ def parse_lines_by_name(
         headers = settle(find_headers(lines, layout))
     heads = _whole_files(headers, per_file)
     union, table = _layout_map(heads, max_layouts)
-    heads = small_side(
-        heads.join(table, "names").select("file_name", *per_file, "header_pos", "sep", "at")
-    )
-    body = lines.join(heads, "file_name").where(F.col("pos") > F.col("header_pos"))
-    return _read_cells(body, per_file, _by_union(union), layout.sep)
+    heads = heads.join(table, "names").select("file_name", *per_file, "header_pos", "sep", "odd", "at")
+    return _read_cells(_records(lines, heads, layout.sep), per_file, _by_union(union), layout.sep)
 
 
 def parse_payloads_by_name(
@@ -344,12 +376,19 @@ def parse_payloads_by_name(
     union, table = _layout_map(heads.select("file_name", "names"), max_layouts)
     heads = heads.join(table, "names")
     heads = heads.select("file_name", *per_file, "text", "header", "sep", "at")
-    return _read_cells(_body_lines(heads), per_file, _by_union(union), layout.sep)
+    return _read_cells(_body_lines(heads, layout.sep), per_file, _by_union(union), layout.sep)
 
 
 # --- rejects ------------------------------------------------------------------------------
 
 
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows, and broken records as ``file_name, reason, record``, of a tagged reading: it is
+    run once and stored, and both are read from there."""
+    kept = stored(tagged)
+    return kept.where("reason IS NULL").drop("reason", "record"), kept.where("reason IS NOT NULL").select("file_name", "reason", "record")
+
+
 def _missing(required) -> Column:
     absent = F.array_except(F.array(*[F.lit(n) for n in required]), F.coalesce("names", F.array().cast("array<string>")))
     return F.when(F.col("names").isNull(), F.lit("no header line")).when(

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from finfilings.functions.names import clean_names
 from finfilings.functions.values import parse_decimal, parse_integer
+from finfilings.sources.delimited import Layout, parse_lines, parse_payloads, reject_lines, reject_payloads
+from finfilings.sources.landing import WHOLE_FILE_BYTES, file_lines, file_payloads, list_files
 from finfilings.vocab import REGISTRY_COLUMNS, VALUE_COLUMNS
 
 CORRUPT = "_corrupt"
@@ -17,27 +19,47 @@ def _schema(columns, corrupt: bool = False) -> str:
     return ", ".join(f"{name} string" for name in names)
 
 
-def read_values_csv(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
-    """Raw values from one or many files, all text; one read unites the periods."""
-    return _read(spark, path, VALUE_COLUMNS, multi_line)
+def _layout(columns, marks: int) -> Layout:
+    """Payloads name their columns in the first line, in any order."""
+    words = tuple(columns[:marks])
+    return Layout(words=words, marks=tuple(f"(?i)^{w}$" for w in words), sep=",")
 
 
-def read_registry_csv(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
-    """Raw registry from one or many files, all text."""
-    return _read(spark, path, REGISTRY_COLUMNS, multi_line)
+VALUES, REGISTRY = _layout(VALUE_COLUMNS, 3), _layout(REGISTRY_COLUMNS, 2)
 
 
-def _read(spark, path, columns, multi_line):
-    return (
-        spark.read.schema(_schema(columns))
-        .option("header", True)
-        .option("enforceSchema", False)  # columns in another order fail instead of trading places
-        .option("encoding", "UTF-8")
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("recursiveFileLookup", True)
-        .csv(path)
-    )
+def read_values(spark: SparkSession, path: str, periods=None, tagged: bool = False, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Raw values from all payloads below a folder, all text; one read unites the periods."""
+    return _read(spark, path, VALUES, VALUE_COLUMNS, periods, tagged, whole_file_bytes)
+
+
+def read_registry(spark: SparkSession, path: str, periods=None, tagged: bool = False, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Raw registry from all payloads below a folder, all text."""
+    return _read(spark, path, REGISTRY, REGISTRY_COLUMNS, periods, tagged, whole_file_bytes)
+
+
+def _read(spark, path, layout, columns, periods, tagged, whole_file_bytes):
+    """Columns are found by the names in each payload's header.  A record of more or fewer
+    cells than the header, or with a quote that is never closed, is broken: it gives no row,
+    or with ``tagged`` one with a ``reason`` and the ``record``'s first line.  Payloads
+    whose names tell another period are not opened; those above a size are read by line.
+    """
+    named = {c: c.upper() for c in columns}
+    small = file_payloads(spark, path, recursive=True, max_bytes=whole_file_bytes, periods=periods).select("file_name", "content")
+    out = parse_payloads(small, layout, named, strict=True, tagged=tagged)
+    if not list_files(spark, path, recursive=True, above_bytes=whole_file_bytes, periods=periods).isEmpty():
+        lines = file_lines(spark, path, recursive=True, charset=layout.charset, above_bytes=whole_file_bytes, periods=periods)
+        out = out.unionByName(parse_lines(lines, layout, named, strict=True, tagged=tagged))
+    return out if tagged else out.drop("file_name")
+
+
+def payload_rejects(spark: SparkSession, path: str, layout: Layout, periods=None, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Payloads that give no rows, with the reason; a refused request's answer has no header."""
+    small = file_payloads(spark, path, recursive=True, max_bytes=whole_file_bytes, periods=periods).select("file_name", "content")
+    out = reject_payloads(small, layout)
+    if not list_files(spark, path, recursive=True, above_bytes=whole_file_bytes, periods=periods).isEmpty():
+        out = out.unionByName(reject_lines(file_lines(spark, path, recursive=True, charset=layout.charset, above_bytes=whole_file_bytes, periods=periods), layout))
+    return out
 
 
 def parse_csv_lines(lines: DataFrame, columns) -> DataFrame:

@@ -30,9 +30,10 @@ def file_payloads(
     recursive: bool = False,
     max_bytes: int | None = None,
     above_bytes: int | None = None,
+    periods=None,
 ) -> DataFrame:
-    """One row per file.  Size bounds are pushed to the source, so the content of other
-    files is never read here.
+    """One row per file.  Size bounds, and the periods that names may tell (see
+    :func:`of_periods`), are pushed to the source, so other files are never opened here.
 
     ``file_name`` tells files apart: below one folder it is the name, in a recursive
     listing, where names may repeat, the whole path.
@@ -41,6 +42,8 @@ def file_payloads(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
+    if periods is not None:
+        files = files.where(of_periods(F.col("_metadata.file_name"), periods))
     if max_bytes is not None:
         files = files.where(F.col("length") <= max_bytes)
     if above_bytes is not None:
@@ -56,6 +59,7 @@ def file_lines(
     recursive: bool = False,
     charset: str = "ISO-8859-1",
     above_bytes: int | None = None,
+    periods=None,
 ) -> DataFrame:
     """Lines of the files above a size, with their place in the file.
 
@@ -67,6 +71,8 @@ def file_lines(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.load(path)
+    if periods is not None:
+        lines = lines.where(of_periods(F.col("_metadata.file_name"), periods))
     if above_bytes is not None:
         lines = lines.where(F.col("_metadata.file_size") > above_bytes)
     return stored(lines.select(
@@ -79,16 +85,22 @@ def file_lines(
     ))
 
 
+def of_periods(name: Column, periods) -> Column:
+    """May a file of this name hold rows of the periods (YYYYMM)?  Names that tell no period may."""
+    around = r"(?<!\d)(?:{})(?!\d)"
+    return name.rlike(around.format("|".join(periods))) | ~name.rlike(around.format(r"(?:19|20)\d\d(?:0[1-9]|1[0-2])"))
+
+
 def plain_path(c: Column) -> Column:
     """A file's path as it is called; ``_metadata`` has it URL-encoded."""
     return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
 
 def list_files(
-    spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False
+    spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False, above_bytes: int | None = None, periods=None
 ) -> DataFrame:
     """Names and sizes only; contents are pruned from the scan."""
-    return file_payloads(spark, path, glob, recursive).select("file_name", "path", "length")
+    return file_payloads(spark, path, glob, recursive, above_bytes=above_bytes, periods=periods).select("file_name", "path", "length")
 
 
 def balance_files(spark: SparkSession, path: str) -> DataFrame:
