@@ -185,8 +185,9 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, container: int = CONTAINER)
     n_steps = steps.count()
 
     nowhere = F.array().cast("array<binary>")
-    at = classes.select("seq", "n", "len", "ends", F.lit(b"").cast("binary").alias("head"), F.lit(0).cast("long").alias("depth"),
-                        F.lit(None).cast("long").alias("up"), nowhere.alias("path"))
+    # settled, or joins on the one head of the first round would become joins without a key
+    at = settle(classes.select("seq", "n", "len", "ends", F.lit(b"").cast("binary").alias("head"), F.lit(0).cast("long").alias("depth"),
+                               F.lit(None).cast("long").alias("up"), nowhere.alias("path")))
     small, heads = [], []
     while True:
         big = settle(at.groupBy("head").agg(
