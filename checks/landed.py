@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.base import ORACLES, as_double, lines_with_head, money_text, month_text, query, table
 from checks.filings import ACCOUNTS, DOCUMENT_OF_LINE, INSTITUTION_SQL, TYPE_OF_STATUS, _pick, filing_lines, institution_list_lines
 from checks.tables import registry_lines, value_lines
 from finfilings.functions.names import file_period, file_type, plain_file_name, safe_name
+from finfilings.operators.pages import land_pages, landed_page, page_coverage, page_spans
 from finfilings.operators.sinks import balance_folder, land
-from finfilings.plans.balances import import_balance_sheets, read_balance_sheets, tidy_balance_sheets
+from finfilings.plans.balances import import_all_columns, import_balance_sheets, read_balance_sheets, tidy_balance_sheets
 from finfilings.plans.indicators import (
     get_ifdata_registry,
     get_ifdata_values,
@@ -297,3 +298,64 @@ def landed_registry_table(spark, sf_dir):
     for _ in range(2):
         land_registry(rows, out)
     return get_ifdata_registry(spark, out, [2022, 2023], 12)
+
+
+@query(
+    """
+    SELECT inst_type, extra, regiao, CAST(count(*) AS BIGINT) AS n_rows, round(CAST(sum(v) AS DOUBLE), 4) AS saldo, 0 AS n_dropped
+    FROM (SELECT CASE l_linestatus WHEN 'F' THEN 'BANCOS' ELSE 'COOPERATIVAS' END AS inst_type, CASE l_linestatus WHEN 'F' THEN CAST(l_linenumber AS VARCHAR) END AS extra,
+                 CASE l_linestatus WHEN 'O' THEN 'R' || CAST(l_linenumber AS VARCHAR) END AS regiao, CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS v FROM lineitem)
+    GROUP BY 1, 2, 3
+    """
+)
+def landed_all_columns(spark, sf_dir):
+    """All columns that any file has, values with four places."""
+    items = table(spark, sf_dir, "lineitem")
+    month, kind = month_text(F.col("l_shipdate")), _pick("l_linestatus", TYPE_OF_STATUS)
+    value = F.translate((F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(4,2)")).cast("string"), ".", ",")
+    bank = F.col("l_linestatus") == "F"
+    cells = [month, F.lit("4010"), F.col("l_suppkey").cast("string"), F.lit("N"), _pick("l_returnflag", ACCOUNTS), value, F.lit("atr")]
+    body = items.select(
+        F.concat(month, F.lit("_"), kind, F.lit(".CSV")).alias("file_name"), F.col("l_orderkey").alias("pos"), bank.alias("bank"),
+        F.concat_ws(";", *cells, F.concat(F.when(bank, "").otherwise("R"), F.col("l_linenumber").cast("string"))).alias("line"))
+    head = F.concat(F.lit("#DATA_BASE;DOCUMENTO;CNPJ;NOME_INSTITUICAO;CONTA;SALDO;ATRIBUTO;"), F.when(F.col("bank"), "Extra").otherwise("REGIAO"))
+    rows = import_all_columns(spark, landed(lines_with_head(body, lambda: [head], "bank")))
+    n_dropped = sum(c in rows.columns for c in ("atributo", "ATRIBUTO"))
+    return rows.groupBy("inst_type", "extra", "regiao").agg(
+        F.count("*").alias("n_rows"), F.round(F.sum("saldo").cast("double"), 4).alias("saldo"), F.lit(n_dropped).alias("n_dropped"))
+
+
+@query(
+    """
+    WITH t AS (SELECT o_orderpriority AS search, count(*) AS total FROM orders GROUP BY 1),
+    p AS (SELECT search, total, unnest(range(0, (total + 99) // 100)) AS k FROM t)
+    SELECT search, 'gap' AS kind, CAST(100 * k AS BIGINT) AS begin_row, CAST(least(100 * k + 100, total) AS BIGINT) AS end_row FROM p WHERE k % 7 = 3
+    UNION ALL SELECT search, 'overlap', CAST(100 * k - 10 AS BIGINT), CAST(100 * k AS BIGINT) FROM p WHERE k % 7 = 5
+    """
+)
+def page_gaps(spark, sf_dir):
+    """Orders as the pages of one search for each priority, of which some are missing and some
+    begin within the one before."""
+    search = Window.partitionBy("o_orderpriority")
+    place = F.row_number().over(search.orderBy("o_orderkey")) - 1
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("search"), F.col("o_orderkey").cast("string").alias("id"), place.alias("i"), F.count("*").over(search).alias("total"))
+    page = F.floor(F.col("i") / 100)
+    late = (F.col("i") % 100 >= 90) & ((page + 1) % 7 == 5) & ((page + 1) * 100 < F.col("total"))
+    rows = rows.select("*", F.explode(F.when(late, F.array(page, page + 1)).otherwise(F.array(page))).alias("page")).where("page % 7 <> 3")
+    hits = F.to_json(F.struct(F.first("total").alias("TotalRows"), F.collect_list(F.create_map(F.lit("id"), F.col("id"))).alias("Rows")))  # of one page
+    found = rows.groupBy("search", "page").agg(F.min("i").alias("start_row"), hits.alias("payload"))
+    return page_coverage(page_spans(found)).withColumnsRenamed({"begin": "begin_row", "end": "end_row"})
+
+
+@query(
+    """
+    SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice
+    FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) - 1 AS r FROM orders) WHERE r BETWEEN 500 AND 999 OR r BETWEEN 1200 AND 1249
+    """
+)
+def landed_page_index(spark, sf_dir):
+    """Two pages out of the orders landed latest first, by the index of their files."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    out = land_pages(orders, [F.col("o_orderdate").desc(), F.col("o_orderkey")], _folder(spark, "pages"))
+    return landed_page(spark, out, 500, 500).unionByName(landed_page(spark, out, 1200, 50)).select("o_orderkey", "o_totalprice")

@@ -23,8 +23,9 @@ def null_text(c: Column) -> Column:
     return F.when(~cell.isin(*MISSING), cell)
 
 
-def parse_decimal(c: Column, precision: int = 22, scale: int = 2) -> Column:
-    """Printed number to decimal; NULL where it is not one.
+def parse_decimal(c: Column, precision: int = 38, scale: int = 10) -> Column:
+    """Printed number to decimal; NULL where it is not one.  No digit that a filing prints
+    is lost at the usual scale.
 
     With a comma the points are grouping marks and the comma is the decimal
     mark; without one the text is cast as it stands.

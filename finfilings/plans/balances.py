@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finfilings.functions.names import base_name, file_type, plain_file_name
+from finfilings.functions.names import base_name, clean_name, drop_listed, file_type, plain_file_name
 from finfilings.functions.periods import ref_month
 from finfilings.functions.values import pad_cnpj, parse_decimal, parse_integer
 from finfilings.operators.audit import landing_report, suffix_rank
@@ -18,7 +20,9 @@ from finfilings.sources.delimited import (
     BALANCES,
     find_headers,
     parse_lines,
+    parse_lines_by_name,
     parse_payloads,
+    parse_payloads_by_name,
     reject_lines,
     reject_payloads,
     split_tagged,
@@ -33,7 +37,7 @@ from finfilings.sources.landing import (
     list_files,
 )
 from finfilings.sources.zipped import unpack
-from finfilings.vocab import BALANCE_IDS
+from finfilings.vocab import BALANCE_IDS, DROPPED_BALANCE_COLUMNS
 
 # Output column → header name of the balance columns that are kept.
 COLUMNS = {
@@ -54,7 +58,7 @@ def _per_file() -> dict:
     return {"inst_type": file_type(plain_file_name(F.col("file_name")))}
 
 
-def type_rows(rows: DataFrame) -> DataFrame:
+def type_rows(rows: DataFrame, keep=("reason", "record")) -> DataFrame:
     """Text rows of the reader with their types; tags stay."""
     return rows.select(
         "file_name",
@@ -66,7 +70,7 @@ def type_rows(rows: DataFrame) -> DataFrame:
         "nome_instituicao",
         "conta",
         parse_decimal(F.col("saldo")).alias("saldo"),
-        *[c for c in ("reason", "record") if c in rows.columns],
+        *[c for c in keep if c in rows.columns],
     )
 
 
@@ -166,6 +170,24 @@ def _imported(spark, path, whole_file_bytes, document, tagged, archives=None) ->
     return out
 
 
+def import_all_columns(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Like :func:`import_balance_sheets` with every column that any file has, names cleaned,
+    but for those of ``DROPPED_BALANCE_COLUMNS``; what a file lacks is null.
+
+    The columns of :func:`import_balance_sheets` come first, typed; the others are text.
+    """
+    archives = _archives(spark, path, whole_file_bytes)
+    sources = balance_sources(spark, path, archives[0])
+    found = [parse_payloads_by_name(p, BALANCES, _per_file()) for p in _small_payloads(spark, path, whole_file_bytes, sources, archives[1])]
+    for lines in _large_sources(spark, path, whole_file_bytes, sources, archives[2]):
+        found.append(parse_lines_by_name(lines, BALANCES, None, _per_file()).withColumn("file_name", base_name(F.col("file_name"))))
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+    out = drop_listed(out, [clean_name(c) for c in DROPPED_BALANCE_COLUMNS])
+    out = out.withColumns({c: F.lit(None).cast("string") for c in COLUMNS if c not in out.columns})
+    typed = ("file_name", "inst_type", "ref_month", *COLUMNS)
+    return type_rows(out, keep=[c for c in out.columns if c not in typed])
+
+
 def _of_files(df: DataFrame, sources: DataFrame) -> DataFrame:
     wanted = small_side(settle(sources.where("member IS NULL").select("file_name")))
     return df.join(wanted, "file_name", "left_semi")

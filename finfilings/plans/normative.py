@@ -13,17 +13,24 @@ TYPE, NUMBER, DATE = "TipodoNormativoOWSCHCS", "NumeroOWSNMBR", "Data1OWSDATE"
 TEXTS = ("AssuntoNormativoOWSMTXT", "HitHighlightedSummary")
 
 
-def acts_table(pages: DataFrame, fields=None, payload: str = "payload") -> DataFrame:
-    """Landed search pages to one clean row per act."""
+def acts_table(pages: DataFrame, fields=None, payload: str = "payload", distinct: bool = False) -> DataFrame:
+    """Landed search pages to one clean row per hit; with ``distinct`` an act that several
+    pages hold, as overlapping ones do, comes once."""
     records = page_records(pages, payload)
     fields = list(fields or record_names(records))
     table = clean_search_fields(record_fields(records.select("record"), fields))
+    table = table.distinct() if distinct else table
     return table.withColumn(DATE, F.col(DATE).try_cast("timestamp")) if DATE in fields else table
 
 
-def get_normative_data(pages: DataFrame, terms, ini_date, end_date, fields=None, payload: str = "payload") -> DataFrame:
-    """Acts of a date interval that hold one of the terms, latest first."""
-    table = acts_table(pages, fields, payload)
+def get_normative_data(
+    pages: DataFrame, terms, ini_date, end_date, fields=None, payload: str = "payload", distinct: bool = False
+) -> DataFrame:
+    """Acts of a date interval that hold one of the terms, latest first.
+
+    Whether all pages landed is told by :func:`finfilings.operators.pages.page_coverage`.
+    """
+    table = acts_table(pages, fields, payload, distinct)
     texts = [c for c in TEXTS if c in table.columns]
     return search_acts(table, terms, ini_date, end_date, texts, DATE, NUMBER)
 

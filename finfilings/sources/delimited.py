@@ -345,8 +345,11 @@ def _layout_map(headers: DataFrame, max_layouts: int):
     return union, F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
-def _by_union(union) -> dict[str, Column]:
-    return {name: F.get("at", F.lit(i)) for i, name in enumerate(union)}
+def _by_union(union, per_file) -> dict[str, Column]:
+    """Columns by name; one that is called like a column of every result gets a number."""
+    taken = ["file_name", *per_file]
+    names = unique_names([*taken, *union])[len(taken):]
+    return {name: F.get("at", F.lit(i)) for i, name in enumerate(names)}
 
 
 def parse_lines_by_name(
@@ -364,7 +367,7 @@ def parse_lines_by_name(
     heads = _whole_files(headers, per_file)
     union, table = _layout_map(heads, max_layouts)
     heads = heads.join(table, "names").select("file_name", *per_file, "header_pos", "sep", "odd", "at")
-    return _read_cells(_records(lines, heads, layout.sep), per_file, _by_union(union), layout.sep)
+    return _read_cells(_records(lines, heads, layout.sep), per_file, _by_union(union, per_file), layout.sep)
 
 
 def parse_payloads_by_name(
@@ -376,7 +379,7 @@ def parse_payloads_by_name(
     union, table = _layout_map(heads.select("file_name", "names"), max_layouts)
     heads = heads.join(table, "names")
     heads = heads.select("file_name", *per_file, "text", "header", "sep", "at")
-    return _read_cells(_body_lines(heads, layout.sep), per_file, _by_union(union), layout.sep)
+    return _read_cells(_body_lines(heads, layout.sep), per_file, _by_union(union, per_file), layout.sep)
 
 
 # --- rejects ------------------------------------------------------------------------------

@@ -75,8 +75,18 @@ def file_lines(
         lines = lines.where(of_periods(F.col("_metadata.file_name"), periods))
     if above_bytes is not None:
         lines = lines.where(F.col("_metadata.file_size") > above_bytes)
+    name = F.col("_metadata.file_path" if recursive else "_metadata.file_name")
+    return _placed(lines, name, charset)
+
+
+def lines_of(spark: SparkSession, paths: list[str], charset: str = "ISO-8859-1") -> DataFrame:
+    """Lines of these files, under their names, with their places."""
+    return _placed(spark.read.text(paths), F.col("_metadata.file_name"), charset)
+
+
+def _placed(lines: DataFrame, name: Column, charset: str) -> DataFrame:
     return stored(lines.select(
-        plain_path(F.col("_metadata.file_path" if recursive else "_metadata.file_name")).alias("file_name"),
+        plain_path(name).alias("file_name"),
         F.struct(
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("row"),
