@@ -44,7 +44,7 @@ from finfilings.llm.eliasfano import EliasFano, encode
 from finfilings.llm.registry import query
 
 #: Tokens of a block, and of a shard.
-BLOCK, SHARD = 1 << 19, 3 << 19
+BLOCK, SHARD = 1 << 19, 5 << 18
 #: Taken off each count of two or three words.
 DISCOUNT = 0.75
 #: Steps of a stored logarithm in a power of ten.
@@ -387,20 +387,33 @@ def quantised(p: np.ndarray) -> np.ndarray:
         return np.minimum(np.ceil(-np.log10(p) * STEPS - 1e-9), 65535).astype("<u2")
 
 
-def build(middle, before, word, seen, followers=None, discount: float = DISCOUNT) -> bytes:
-    """The levels of a trie out of trigram counts (repeats are added up).
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Numbers in four bytes where they fit."""
+    return x.astype(np.int32) if not len(x) or int(x.max()) < 1 << 31 else x
+
+
+def build(counted: list[np.ndarray], followers=None, discount: float = DISCOUNT) -> bytes:
+    """The levels of a trie out of trigram counts ``middle, before, word, seen`` (repeats are
+    added up); the list is emptied, so that none of them is kept meanwhile.
 
     ``followers`` are (middle, word, count) of middle words whose trigrams are here in part
     only; they stand instead of what the trigrams add up to.
     """
+    seen, word, before, middle = (counted.pop() for _ in range(4))
     top = 1 + max((int(x.max()) for x in (before, word, *((followers[1],) if followers else ())) if len(x)), default=0)
     own, a = np.unique(middle, return_inverse=True)
-    contexts, j = np.unique(a * top + before, return_inverse=True)
-    key = j * top + word
-    del j, a, middle, before, word
-    trigram, at = np.unique(key, return_inverse=True)
-    del key
+    del middle
+    a = a * np.int64(top) + before
+    del before
+    contexts, j = np.unique(a, return_inverse=True)
+    del a
+    j = j * np.int64(top) + word
+    del word
+    trigram, at = np.unique(j, return_inverse=True)
+    del j
     count = np.bincount(at, weights=seen).astype(np.int64) if len(at) else np.empty(0, np.int64)
+    del at, seen
+    own = own.astype(np.int64)
     j, last = trigram // top, trigram % top
     head = contexts // top
     pairs = np.column_stack([own[head[j]], last, count]) if len(j) else np.empty((0, 3), np.int64)
@@ -490,17 +503,18 @@ def _answer(total: int, discount: float, id_type: pa.DataType):
             learnt = seen > 0
             if learnt.any():
                 for x, name in zip(counted, ("middle", "before", "word")):
-                    x.append(cell(name, k)[learnt])
-                counted[3].append(seen[learnt])
-        counted = [np.concatenate(x) if x else np.empty(0, np.int64) for x in counted]
+                    x.append(_narrow(cell(name, k)[learnt]))
+                counted[3].append(_narrow(seen[learnt]))
+        for c in range(4):
+            counted[c] = np.concatenate(counted[c]) if counted[c] else np.empty(0, np.int64)
         extra = np.flatnonzero(is_follower)
         followers = None
         if len(extra):
             words = [cell("word", k) for k in extra]
             names = np.concatenate([cell("middle", k) for k in extra])
             followers = (np.repeat(names, [len(w) for w in words]), np.concatenate(words), np.concatenate([cell("seen", k) for k in extra]))
-        levels = build(*counted, followers, discount)
-        del counted, followers
+        levels = build(counted, followers, discount)
+        del followers
         trie = Trie(mapped(levels))
         del levels
         out = []
@@ -548,9 +562,10 @@ def score_texts(documents: DataFrame, learn: Column, text: str = "text", doc_id:
     ``base_score`` that of its tokens one by one (p1).  Null and empty texts are one end token.
     Rows that repeat are scored each, and learnt from each; a null ``learn`` is no.  Without
     rows to learn from every token has probability 1.  An empty table gives none.
-    A middle word of more than ``often`` (by default ``shard``) tokens is split.
+    A middle word of more than ``often`` tokens (by default a quarter of ``shard``, so that
+    shards are even) is split.
     """
-    often = shard if often is None else often
+    often = max(1, shard // 4) if often is None else often
     rows = documents.select(F.col(doc_id).alias("id"), F.coalesce(learn, F.lit(False)).alias("learn"), whole_text(text).alias("body"))
     id_name = rows.schema["id"].dataType.simpleString()
     id_type = rows.limit(0).select("id").toArrow().schema.field("id").type

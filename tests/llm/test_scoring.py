@@ -90,7 +90,7 @@ def test_scores_are_those_of_a_plain_model(spark, monkeypatch, options):
 def test_probabilities_sum_to_one_at_most():
     r = np.random.default_rng(3)
     middle, before, word = r.integers(2, 9, 800), r.integers(1, 9, 800), r.integers(2, 40, 800) ** 2 % 37 + 2
-    trie = scoring.Trie(scoring.mapped(scoring.build(middle, before, word, np.ones(800, np.int64))))
+    trie = scoring.Trie(scoring.mapped(scoring.build([middle, before, word, np.ones(800, np.int64)])))
     counts = np.bincount(word, minlength=60)
     p1 = (counts[2:] + 1) / (800 + (counts > 0).sum() + 1)
     outcomes = np.flatnonzero(counts)
