@@ -67,20 +67,48 @@ ACCEPT = 0.9
 EM_STEPS, FIT_STEPS = 60, 400
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once however often it is used there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def found(text: Column, pattern: str, needs: str) -> Column:
     """Matches as ``struct<start,end,value>``, in code points: what lies between matches and
-    the matches themselves, in turn, add up to positions."""
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.zip_with(F.split(text, pattern, -1), values, lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
-
-    def step(s, x):
-        begin, end = s.at + x.gap, s.at + x.gap + F.length(x.value)
-        return F.when(x.value.isNull(), s).otherwise(F.struct(
-            end.alias("at"), F.concat(s.out, F.array(F.struct(begin.alias("start"), end.alias("end"), x.value.alias("value")))).alias("out"),
-        ))
-
-    return F.when(text.rlike(needs), F.aggregate(pairs, start, step, lambda s: s.out)).otherwise(start.out)
+    the matches themselves, in turn, add up to positions.
+
+    The lengths are added up by blocks of about the square root of their number, then
+    within a block, so a text of very many matches takes no time that grows with their square.
+    """
+    def total(lengths: Column) -> Column:
+        return F.aggregate(lengths, F.lit(0), lambda s, x: s + x)
+
+    def with_lengths(s: Column) -> Column:
+        n = F.size(s["values"])
+        lengths = F.zip_with(F.slice(s["gaps"], F.lit(1), n), s["values"], lambda gap, value: F.length(gap) + F.length(value))
+        return F.struct(s["values"].alias("values"), lengths.alias("lengths"), F.ceil(F.sqrt(n)).cast("int").alias("step"))
+
+    def with_sums(s: Column) -> Column:
+        blocks = F.sequence(F.lit(0), ((F.size(s["values"]) - 1) / s["step"]).cast("int"))
+        return F.struct(s["values"].alias("values"), s["lengths"].alias("lengths"), s["step"].alias("step"), F.transform(
+            blocks, lambda k: total(F.slice(s["lengths"], k * s["step"] + 1, s["step"]))).alias("sums"))
+
+    def with_before(s: Column) -> Column:
+        return F.struct(s["values"].alias("values"), s["lengths"].alias("lengths"), s["step"].alias("step"), F.transform(
+            s["sums"], lambda _, k: total(F.slice(s["sums"], F.lit(1), k))).alias("before"))
+
+    def spans(s: Column) -> Column:
+        def of(value: Column, i: Column) -> Column:
+            block, place = (i / s["step"]).cast("int"), i % s["step"]
+            end = F.get(s["before"], block) + total(F.slice(s["lengths"], i - place + 1, place + 1))
+            return F.struct((end - F.length(value)).alias("start"), end.alias("end"), value.alias("value"))
+
+        return F.transform(s["values"], of)
+
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    matched = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"), F.split(text, pattern, -1).alias("gaps"))
+    placed = _let(matched, lambda m: F.when(F.size(m["values"]) == 0, none).otherwise(
+        _let(with_lengths(m), lambda x: _let(with_sums(x), lambda y: _let(with_before(y), spans)))))
+    return F.when(text.rlike(needs), placed).otherwise(none)
 
 
 def _digits(value: Column) -> Column:
