@@ -49,9 +49,13 @@ def _ends_inside(record: Column, sep: Column | str) -> Column:
     return _by_sep(sep, of)
 
 
+#: A quote that might begin a cell, and no single quote after it: few lines pass, whatever the separator.
+LEFT_OPEN = rf'(?:^|[{"".join(SEPARATORS)}]){BLANK}"{INSIDE}\z'
+
+
 def opens(line: Column, sep: Column | str) -> Column:
     """Does the line, read from the beginning of a cell, end inside a quoted cell?"""
-    return line.contains('"') & _ends_inside(line, sep)
+    return line.contains('"') & line.rlike(LEFT_OPEN) & _ends_inside(line, sep)
 
 
 def _closing(s: str) -> str:
@@ -67,8 +71,8 @@ def may_open(line: Column) -> Column:
     """Could the line end inside a quoted cell, whatever the separator?"""
     found = F.lit(False)
     for sep in SEPARATORS:
-        found = found | opens(line, sep)
-    return found
+        found = found | _ends_inside(line, sep)
+    return line.contains('"') & line.rlike(LEFT_OPEN) & found
 
 
 def split_records(text: Column, sep: Column | str) -> Column:
