@@ -318,31 +318,30 @@ def _records(lines: DataFrame, heads: DataFrame, sep: str | None, holding: str |
     return after(held(lines), heads.where("not odd")).select("*", none).unionByName(joined)
 
 
-def _layout_map(headers: DataFrame, max_layouts: int):
-    """Distinct headers in first-seen order and the union of their clean names.
+def _layout_map(headers: DataFrame):
+    """The union of all headers' clean names, in first-seen order, and a table ``names, at`` of
+    where each distinct header has them.
 
-    The distinct headers of a family are a small vocabulary whatever the number of
-    files; more than ``max_layouts`` of them is refused rather than truncated.
+    Headers stay a table, however many differ; only the distinct names, which become columns,
+    pass through the driver.
     """
-    seen = (
-        headers.groupBy("names")
-        .agg(F.min("file_name").alias("first_file"))
-        .orderBy("first_file", "names")
-        .limit(max_layouts + 1)
-        .collect()
-    )
-    if len(seen) > max_layouts:
-        raise ValueError(f"more than {max_layouts} distinct headers; pass the wanted columns instead")
-    union: list[str] = []
-    rows = []
-    for row in seen:
-        clean = unique_names(clean_name(n) for n in row["names"])
-        union += [n for n in clean if n not in union]
-        rows.append((row["names"], clean))
-    mapped = [(names, [clean.index(n) if n in clean else None for n in union]) for names, clean in rows]
-    table = headers.sparkSession.createDataFrame(mapped, "names array<string>, at array<int>")
-    size = sum(len(n) + 16 for names, _ in mapped for n in names) + 8 * len(mapped) * len(union)
-    return union, F.broadcast(table) if size <= BROADCAST_BYTES else table
+    spark = headers.sparkSession
+    seen = settle(headers.groupBy("names").agg(F.min("file_name").alias("first_file")).withColumn("layout", F.monotonically_increasing_id()))
+    cells = seen.select("layout", "first_file", F.posexplode("names").alias("pos", "raw"))
+    raw = [r["raw"] for r in cells.select("raw").distinct().collect()]  # the vocabulary of column names
+    clean = spark.createDataFrame([(n, clean_name(n)) for n in raw], "raw string, clean string")
+    clean = F.broadcast(clean) if sum(2 * len(n) + 32 for n in raw) <= BROADCAST_BYTES else clean
+    rows = cells.join(clean, "raw").groupBy("layout", "first_file").agg(F.array_sort(F.collect_list(F.struct("pos", "clean"))).alias("cells"))
+    # a later copy of a name in the same header gets a number
+    copies = lambda c, i: F.size(F.filter(F.slice("cleans", F.lit(1), i), lambda x: x == c))
+    rows = rows.select("layout", "first_file", F.transform("cells", lambda c: c["clean"]).alias("cleans")).withColumn(
+        "cleans", F.transform("cleans", lambda c, i: F.when(copies(c, i) == 0, c).otherwise(F.concat_ws("_", c, copies(c, i) + 1))))
+    rows = settle(rows)
+    first = rows.select("first_file", F.posexplode("cleans").alias("pos", "name")).groupBy("name").agg(F.min(F.struct("first_file", "pos")).alias("first"))
+    union = [r["name"] for r in first.orderBy("first", "name").collect()]
+    at = F.transform(F.array(*[F.lit(n) for n in union]), lambda n: F.nullif(F.array_position("cleans", n), F.lit(0).cast("bigint")).cast("int") - 1)
+    table = seen.select("layout", "names").join(rows.select("layout", at.alias("at")), "layout").drop("layout")
+    return union, small_side(settle(table))
 
 
 def _by_union(union, per_file) -> dict[str, Column]:
@@ -357,7 +356,6 @@ def parse_lines_by_name(
     layout: Layout,
     headers: DataFrame | None = None,
     per_file: dict[str, Column] | None = None,
-    max_layouts: int = 10_000,
 ) -> DataFrame:
     """Like :func:`parse_lines` with every column any file has, names cleaned, in
     first-seen order."""
@@ -365,18 +363,18 @@ def parse_lines_by_name(
     if headers is None:
         headers = settle(find_headers(lines, layout))
     heads = _whole_files(headers, per_file)
-    union, table = _layout_map(heads, max_layouts)
+    union, table = _layout_map(heads)
     heads = heads.join(table, "names").select("file_name", *per_file, "header_pos", "sep", "odd", "at")
     return _read_cells(_records(lines, heads, layout.sep), per_file, _by_union(union, per_file), layout.sep)
 
 
 def parse_payloads_by_name(
-    payloads: DataFrame, layout: Layout, per_file: dict[str, Column] | None = None, max_layouts: int = 10_000
+    payloads: DataFrame, layout: Layout, per_file: dict[str, Column] | None = None
 ) -> DataFrame:
     """Like :func:`parse_payloads` with every column any file has."""
     per_file = per_file or {}
     heads = _whole_files(payload_headers(payloads, layout), per_file)
-    union, table = _layout_map(heads.select("file_name", "names"), max_layouts)
+    union, table = _layout_map(heads.select("file_name", "names"))
     heads = heads.join(table, "names")
     heads = heads.select("file_name", *per_file, "text", "header", "sep", "at")
     return _read_cells(_body_lines(heads, layout.sep), per_file, _by_union(union, per_file), layout.sep)

@@ -115,3 +115,23 @@ def test_a_stream_lands_rows_and_rejects_of_small_and_large_files(spark, tmp_pat
         assert rows(spark.read.parquet(out).groupBy("data").count()) == [(202311, 51), (202312, 1)]
         assert rows(spark.read.parquet(bad).select("file_name", "reason")) == [
             ("202310BANCOS.CSV", "no header line"), ("202311BANCOS.CSV", "a quote is never closed"), ("202312BANCOS.CSV", "a quote is never closed")]
+
+
+def test_twelve_thousand_headers_of_few_names(spark):
+    """More distinct headers than were ever collected: names in any order, some of them twice."""
+    import itertools
+
+    from finfilings.sources.delimited import INSTITUTIONS, parse_lines_by_name
+
+    names = ["CNPJ", "Nome", "UF", "Município", "E-mail", "Nome", "Telefone", "% Capital"]
+    orders = list(itertools.islice(itertools.permutations(range(8)), 0, 40_000, 3))[:12_000]
+    lines = [(f"{k:06d}", 0, ",".join(names[i] for i in order)) for k, order in enumerate(orders)]
+    lines += [(f"{k:06d}", 1, ",".join(f"{i}:{k}" for i in order)) for k, order in enumerate(orders)]
+    rows_ = parse_lines_by_name(spark.createDataFrame(lines, "file_name string, pos long, line string").repartition(4), INSTITUTIONS)
+    assert set(rows_.columns) == {"file_name", "cnpj", "nome", "nome_2", "uf", "municipio", "e_mail", "telefone", "percent_capital"}
+    got = {r["file_name"]: r for r in rows_.collect()}
+    assert len(got) == len(set(orders)) == 12_000
+    for k in (0, 777, 11_999):
+        r = got[f"{k:06d}"]
+        twice = [i for i in orders[k] if names[i] == "Nome"]
+        assert (r["cnpj"], r["percent_capital"], r["nome"], r["nome_2"]) == (f"0:{k}", f"7:{k}", *(f"{i}:{k}" for i in twice))
