@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from operator import and_
 
@@ -14,6 +15,43 @@ from finfilings.operators.reshape import distinct_values, pivot_wide
 from finfilings.session import settle
 
 
+class Staged:
+    """Folders that take the place of earlier ones together, once all of them are written.
+
+    Each is written beside its target; until :meth:`commit` nothing that was there before is
+    touched, so a run that fails in between leaves the earlier result whole.
+    """
+
+    def __init__(self, spark):
+        self.spark, self.moves = spark, []
+
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def folder(self, target: str) -> str:
+        """Where to write what is to stand at ``target``."""
+        target = target.rstrip("/")
+        parent, _, name = target.rpartition("/")
+        staging = f"{parent}/_staged-{name}-{uuid.uuid4().hex}" if parent else f"_staged-{name}-{uuid.uuid4().hex}"
+        files, path = self._path(staging)
+        files.deleteOnExit(path)  # what is never committed goes with the session
+        self.moves.append((staging, target))
+        return staging
+
+    def commit(self) -> None:
+        for staging, target in self.moves:
+            files, new = self._path(staging)
+            if not files.exists(new):  # no row was written
+                continue
+            _, old = self._path(target)
+            files.delete(old, True)
+            if not files.rename(new, old):
+                raise OSError(f"{target} could not be replaced; the new rows are in {staging}")
+            files.cancelDeleteOnExit(new)
+        self.moves = []
+
+
 def by_partition(df: DataFrame, keys) -> DataFrame:
     """Bring rows of one target partition together before a partitioned write.
 
@@ -39,15 +77,17 @@ def write_wide_by_type(
     """One CSV folder ``{document}_{type}.csv`` per institution type.
 
     ``long`` should be a stored table partitioned by ``inst_type`` (see
-    :func:`write_long`): each of the few types then reads its own partition only.
+    :func:`write_long`): each of the few types then reads its own partition only.  The
+    folders are replaced together once all are written.
     """
-    written = {}
+    written, staged = {}, Staged(long.sparkSession)
     for inst_type in distinct_values(long, "inst_type"):
         rows = long.where(F.col("inst_type") == inst_type)
         folder = balance_folder(out_dir, document, inst_type)
         wide = pivot_wide(rows, ids, on_duplicate=on_duplicate)
-        wide.write.mode(mode).option("header", True).csv(folder)
+        wide.write.mode(mode).option("header", True).csv(folder if mode == "append" else staged.folder(folder))
         written[inst_type] = folder
+    staged.commit()
     return written
 
 
@@ -55,7 +95,8 @@ def write_institutions(df: DataFrame, out_dir: str, own: dict[str, set[str]] | N
     """Institution lists as CSV, one folder per institution under a path-safe name.
 
     ``own`` names the columns of each institution; without it all have all.  Folders that
-    an earlier run left for other institutions are replaced together with the rest.
+    an earlier run left for other institutions are replaced together with the rest, once
+    everything is written.
     """
     tagged = df.withColumn("safe_name", safe_name(F.col("institution")))
     if own is None:
@@ -64,12 +105,12 @@ def write_institutions(df: DataFrame, out_dir: str, own: dict[str, set[str]] | N
     for name in distinct_values(df, "institution"):
         columns = tuple(c for c in df.columns if c in own.get(name, df.columns))
         groups.setdefault(columns, []).append(name)
-    mode = "overwrite"
+    staged = Staged(df.sparkSession)
+    folder = staged.folder(out_dir)
     for columns, names in groups.items():  # one write for institutions of the same columns
         rows = tagged.where(F.col("institution").isin(names)).select(*columns, "safe_name")
-        writer = by_partition(rows, ["safe_name"]).write.mode(mode).partitionBy("safe_name").option("header", True)
-        writer.option("partitionOverwriteMode", "static").csv(out_dir)
-        mode = "append"
+        by_partition(rows, ["safe_name"]).write.mode("append").partitionBy("safe_name").option("header", True).csv(folder)
+    staged.commit()
     return out_dir
 
 

@@ -135,3 +135,31 @@ def test_twelve_thousand_headers_of_few_names(spark):
         r = got[f"{k:06d}"]
         twice = [i for i in orders[k] if names[i] == "Nome"]
         assert (r["cnpj"], r["percent_capital"], r["nome"], r["nome_2"]) == (f"0:{k}", f"7:{k}", *(f"{i}:{k}" for i in twice))
+
+
+def test_a_write_that_fails_leaves_the_earlier_folders(spark, tmp_path, monkeypatch):
+    from finfilings.operators import sinks
+    from finfilings.vocab import BALANCE_IDS
+
+    schema = "inst_type string, data string, documento int, cnpj string, nome_instituicao string, conta string, saldo decimal(38,10)"
+    long = spark.createDataFrame([(t, "202312", 4010, "1", "A", "10", Decimal(k)) for k, t in enumerate(("BANCOS", "COOPERATIVAS"), 1)], schema)
+    out = str(tmp_path / "out")
+    sinks.write_wide_by_type(long, out, 4010, BALANCE_IDS)
+    read = lambda: {t: spark.read.option("header", True).csv(f"{out}/4010_{t}.csv").first()["10"] for t in ("bancos", "cooperativas")}
+    before = read()
+    pivot = sinks.pivot_wide
+
+    def broken(rows_, *args, **options):
+        if rows_.first()["inst_type"] == "COOPERATIVAS":
+            raise RuntimeError("lost")
+        return pivot(rows_, *args, **options)
+
+    monkeypatch.setattr(sinks, "pivot_wide", broken)
+    try:
+        sinks.write_wide_by_type(long.withColumn("saldo", F.col("saldo") + 5), out, 4010, BALANCE_IDS)
+    except RuntimeError:
+        pass
+    assert read() == before
+    monkeypatch.setattr(sinks, "pivot_wide", pivot)
+    sinks.write_wide_by_type(long.withColumn("saldo", F.col("saldo") + 5), out, 4010, BALANCE_IDS)
+    assert {t: float(v) for t, v in read().items()} == {t: float(v) + 5 for t, v in before.items()}
