@@ -103,17 +103,17 @@ def _ends(pdf):
     row = [archive, None, None, None, None]
     try:
         if at < 0:
-            raise ValueError("no archive: no end record")
+            raise ValueError("BadZipFile: no end record")
         count, length, begin = struct.unpack_from("<HII", tail, at + 10)
         shift = first + at - (begin + length)  # bytes before the archive proper
         if 0xFFFFFFFF in (length, begin) or count == 0xFFFF:
             wide = tail.rfind(b"PK\6\6", 0, at)
             if wide < 0:
-                raise ValueError("no end record for large archives")
+                raise ValueError("BadZipFile: no end record for large archives")
             count, length, begin = struct.unpack_from("<QQQ", tail, wide + 32)
             shift = first + wide - (begin + length)
         if shift < 0:
-            raise ValueError("the directory does not fit before the end record")
+            raise ValueError("BadZipFile: the directory does not fit before the end record")
         row[1:4] = begin + shift, length, count
     except (ValueError, struct.error) as problem:
         row[4] = str(problem)

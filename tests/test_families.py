@@ -131,7 +131,7 @@ def test_landed_values_prune_partitions_and_columns(spark, values_folder, tmp_pa
     out = indicators.land_values(table, str(tmp_path / "landed"))
     read = indicators.landed_values(spark, out, 2024, 12, 1, ["cnpj", "saldo"])
     text = read._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<cnpj:string,saldo:decimal(22,2)>" in text
+    assert "ReadSchema: struct<cnpj:string,saldo:decimal(38,10)>" in text
     assert "PartitionFilters: [" in text and "ano_mes" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert rows(read) == [("7", Decimal("1234.50"))]
 
