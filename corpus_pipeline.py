@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finfilings.llm import decontam, jaccard, linededup, packing, toxicity
-from finfilings.llm.common import settle, small_side, table
+from finfilings.llm.common import free_name, settle, small_side, table
 from finfilings.session import checkpoint_dir
 
 #: Probability from which a document is rejected as toxic.
@@ -54,18 +54,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Of rows that repeat both id and text one stays.  Documents without words all stay.
     """
     found = settle(jaccard.near_duplicates(docs.select("doc_id", "text"), width=5, percent=80))
-    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    # names that no column of the documents has
+    own_key, own_id, text_key = (free_name(docs, c) for c in ("__key", "__id", "__text_key"))
+    keyed = docs.withColumn(own_key, F.xxhash64("text"))
 
     def matching(side: DataFrame, how: str) -> DataFrame:
-        side = small_side(settle(side.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key")).distinct()))
-        return keyed.join(side, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__text_key")), how)
+        side = small_side(settle(side.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(text_key)).distinct()))
+        return keyed.join(side, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(own_key) == F.col(text_key)), how)
 
     repeated = settle(found.where("kept and n_shingles > 0").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1"))
     gone = found.where("not kept").select("doc_id", "text_key")
     if repeated.isEmpty():
-        return matching(gone, "left_anti").drop("__key")
-    once = matching(repeated, "left_semi").dropDuplicates(["doc_id", "__key"])
-    return matching(gone.unionByName(repeated.select("doc_id", "text_key")), "left_anti").unionByName(once).drop("__key")
+        return matching(gone, "left_anti").drop(own_key)
+    once = matching(repeated, "left_semi").dropDuplicates(["doc_id", own_key])
+    return matching(gone.unionByName(repeated.select("doc_id", "text_key")), "left_anti").unionByName(once).drop(own_key)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from finfilings.session import settle, small_side, stored
 
-__all__ = ["Numbers", "crc_of", "dropped", "held", "released", "settle", "small_side", "stored", "table", "texts_of", "whole_text"]
+__all__ = ["Numbers", "crc_of", "dropped", "free_name", "held", "released", "settle", "small_side", "stored", "table", "texts_of", "whole_text"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,13 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A name like this one that no column of the table has."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def whole_text(name: str = "text") -> Column:
     """The text as it is; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finfilings.llm.common import settle, small_side, stored, texts_of, whole_text
+from finfilings.llm.common import free_name, settle, small_side, stored, texts_of, whole_text
 
 #: Bits of the bitmap of repeated hashes (16 MB), as a power of two.
 MARKS = 27
@@ -122,19 +122,20 @@ def cut_repeats(documents: DataFrame, units: Callable[[str], list[Unit]], least_
         F.array_sort(F.collect_set("first.id")).alias("first_ids"),
     )  # one document's own cuts
     cut = settle(cut.mapInArrow(_merge, f"id {id_type}, key long, cuts array<struct<start:bigint,end:bigint>>, first_ids array<{id_type}>"))
-    cut = small_side(cut.select(F.col("id").alias("__cut_id"), F.col("key").alias("__cut_key"), F.col("cuts").alias("__cuts"), F.col("first_ids").alias("__first_ids")))
-    marked = documents.withColumn("__key", key)
-    joined = marked.join(cut, marked[doc_id].eqNullSafe(F.col("__cut_id")) & (F.col("__key") == F.col("__cut_key")), "left")
+    own_key, cut_id, cut_key, cuts, first_ids = (free_name(documents, f"__{c}") for c in ("key", "cut_id", "cut_key", "cuts", "first_ids"))
+    cut = small_side(cut.select(F.col("id").alias(cut_id), F.col("key").alias(cut_key), F.col("cuts").alias(cuts), F.col("first_ids").alias(first_ids)))
+    marked = documents.withColumn(own_key, key)
+    joined = marked.join(cut, marked[doc_id].eqNullSafe(F.col(cut_id)) & (F.col(own_key) == F.col(cut_key)), "left")
     # the pieces between the cuts, as start and end
     pieces = F.zip_with(
-        F.concat(F.array(F.lit(0).cast("long")), F.transform("__cuts", lambda c: c.end)),
-        F.concat(F.transform("__cuts", lambda c: c.start), F.array(F.length(text).cast("long"))),
+        F.concat(F.array(F.lit(0).cast("long")), F.transform(cuts, lambda c: c.end)),
+        F.concat(F.transform(cuts, lambda c: c.start), F.array(F.length(text).cast("long"))),
         lambda a, b: F.struct(a.alias("a"), b.alias("b")),
     )
     rest = F.array_join(F.transform(pieces, lambda p: F.col(text).substr((p.a + 1).cast("int"), (p.b - p.a).cast("int"))), "")
     return joined.select(
-        *[F.when(F.col("__cuts").isNull(), F.col(text)).otherwise(rest).alias(text) if c == text else F.col(f"`{c}`") for c in columns if c not in ("cuts", "first_ids")],
-        F.col("__cuts").alias("cuts"), F.col("__first_ids").alias("first_ids"),
+        *[F.when(F.col(cuts).isNull(), F.col(text)).otherwise(rest).alias(text) if c == text else F.col(f"`{c}`") for c in columns if c not in ("cuts", "first_ids")],
+        F.col(cuts).alias("cuts"), F.col(first_ids).alias("first_ids"),
     )
 
 

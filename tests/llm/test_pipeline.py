@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline as pipeline
 
-ODD = "doc_id long, text string, n_chars long, cuts string, first_ids int, n_hit int, hit_spans int, text_key int, score double, __id int, p int"
+ODD = "doc_id long, text string, n_chars long, cuts string, first_ids int, n_hit int, hit_spans int, text_key int, score double, __id int, __key int"
 rng = random.Random(21)
 WORDS = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(300)]
 
@@ -16,7 +16,7 @@ def prose(n, seed):
     return " ".join(r.choice(WORDS) for _ in range(n))
 
 
-PASSAGE = prose(60, 1)
+PASSAGE = prose(60, 9001)
 LINES = "\n".join(prose(8, 100 + k) for k in range(4))
 
 
@@ -32,7 +32,7 @@ def odd_rows():
 def tables(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("tables"))
     r = random.Random(4)
-    marked = [(1000 + k, f"{prose(30, 1000 + k)} {r.choice(['scum', 'idiot'])} {prose(9, k)}" if k % 4 == 0 else prose(40, 1000 + k), int(k % 4 == 0)) for k in range(400)]
+    marked = [(5000 + k, f"{prose(30, 5000 + k)} {r.choice(['scum', 'idiot'])} {prose(9, k)}" if k % 4 == 0 else prose(40, 5000 + k), int(k % 4 == 0)) for k in range(1200)]
     extra = [(name, text, len(text), "own", 1, 2, 3, 4, 0.5, 6, 7) for name, text, _ in marked]
     spark.createDataFrame(odd_rows() + extra, ODD).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(name, 1, toxic) for name, _, toxic in marked], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
@@ -54,10 +54,10 @@ def test_stages_keep_columns_and_defined_rows(spark, tables, k):
     assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
     rows = out.collect()
     ids = [r["doc_id"] for r in rows]
-    assert all(r["cuts"] == "own" and r["first_ids"] == 1 and r["n_hit"] == 2 and r["text_key"] == 4 and r["score"] == 0.5 and r["p"] == 7 for r in rows)
+    assert all(r["cuts"] == "own" and r["first_ids"] == 1 and r["n_hit"] == 2 and r["text_key"] == 4 and r["score"] == 0.5 and r["__id"] == 6 and r["__key"] == 7 for r in rows)
     assert {0, 80, 70, 71} <= set(ids) and None in ids
     if name == "toxicity":
-        assert not any(200 <= (i or 0) < 206 for i in ids) and len([i for i in ids if i is not None and i < 200]) == 42
+        assert not any(200 <= (i or 0) < 206 for i in ids) and len([i for i in ids if i is not None and i < 200]) == 41
     if name == "line_dedup":
         texts = {r["doc_id"]: r["text"] for r in rows}
         assert texts[53].startswith(LINES) and texts[54] == prose(9, 4) and all(r["n_chars"] == len(r["text"]) for r in rows if r["text"] is not None)
