@@ -44,7 +44,7 @@ from finfilings.llm.eliasfano import EliasFano, encode
 from finfilings.llm.registry import query
 
 #: Tokens of a block, and of a shard.
-BLOCK, SHARD = 1 << 19, 5 << 18
+BLOCK, SHARD = 3 << 18, 3 << 19
 #: Taken off each count of two or three words.
 DISCOUNT = 0.75
 #: Steps of a stored logarithm in a power of ten.
@@ -458,20 +458,30 @@ class Trie:
 
     def probability(self, middle: np.ndarray, before: np.ndarray, word: np.ndarray, p1: np.ndarray) -> np.ndarray:
         """p3 of each word after ``before middle``; ``p1`` is its own probability."""
+        # neighbours mostly share the middle word, and many the whole context: each is looked up once
+        begin, end = _cuts(middle)
+        own, seen = self.names.successor(middle[begin])
+        first = np.zeros(len(own), np.int64)
+        first[seen] = self.begins[own[seen]]
+        run = np.repeat(np.arange(len(begin)), end - begin)
         out = p1.copy()
-        a, seen = self.names.successor(middle)
-        at = np.flatnonzero(seen)
-        a, word, before = a[at], word[at], before[at]
+        at = np.flatnonzero(seen[run])
+        if not len(at):
+            return out
+        a, first, word, before = own[run[at]], first[run[at]], word[at], before[at]
         i, follows = self.bigrams.successor(np.where(word < self.top, a * self.top + word, (a + 1) * self.top - 1))
         follows &= word < self.top
         p = _VALUES[self.weight2[a]] * p1[at]
         p[follows] += _VALUES[self.own2[i[follows]]]
-        c, known = self.contexts.successor(np.where(before < self.top, a * self.top + before, (a + 1) * self.top - 1))
-        known &= before < self.top
+        context = np.where(before < self.top, a * self.top + before, (a + 1) * self.top - 1)
+        begin, end = _cuts(context)
+        c, known = self.contexts.successor(context[begin])
+        known &= before[begin] < self.top
+        run = np.repeat(np.arange(len(begin)), end - begin)
+        c, known = c[run], known[run]
         p[known] *= _VALUES[self.weight3[c[known]]]
         deep = np.flatnonzero(known & follows)
-        place = i[deep] - self.begins[a[deep]]
-        t, there = self.trigrams.successor(c[deep] * self.wide + place)
+        t, there = self.trigrams.successor(c[deep] * self.wide + i[deep] - first[deep])
         p[deep[there]] += _VALUES[self.own3[t[there]]]
         out[at] = p
         return out
