@@ -9,6 +9,8 @@ from finfilings.operators.numbering import number_rows
 
 #: Up to this many names a pivot is written as conditional aggregates.
 NARROW = 50
+#: About so many names share one map of a wider pivot, so that a cell is found among few.
+MAP_NAMES = 64
 
 
 def distinct_values(df: DataFrame, name: str, max_values: int = 10_000) -> list:
@@ -47,7 +49,8 @@ def pivot_wide(
 
     Up to ``NARROW`` names the cells are conditional aggregates: one shuffle of
     partially aggregated rows, so a hot institution arrives as one row per task.  More
-    names are reduced to one row per cell first and then pivoted.
+    names are reduced to one row per cell first; the cells of a row then travel as maps of
+    what is there, so that no task holds rows of all columns.
     """
     ids = list(ids)
     if values is None:
@@ -71,9 +74,27 @@ def pivot_wide(
     v = F.col("_v")
     if on_duplicate == "error":
         v = F.when((F.col("_n") > 1) & F.col(f"`{names_from}`").isNotNull(), _refuse([*ids, names_from])).otherwise(v)
-    cell = cell.select(*ids, names_from, v.alias("_v"))
-    wide = cell.groupBy(*ids).pivot(names_from, list(values)).agg(F.first("_v", ignorenulls=True))
-    return wide.toDF(*ids, *names)
+    return _pivot_maps(cell.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(ids)], F.col(f"`{names_from}`").alias("_name"), v.alias("_v")), ids, values, names)
+
+
+def _pivot_maps(cell: DataFrame, ids, values, names) -> DataFrame:
+    """Wide rows out of unique cells ``_k0, …, _name, _v``.
+
+    Cells are brought together by row before they are collected, so the aggregate sorts
+    narrow rows; names are dealt over maps by their hash and looked up there.
+    """
+    keys = [f"_k{i}" for i in range(len(ids))]
+    kind, n = cell.schema["_name"].dataType, -(-len(values) // MAP_NAMES)
+    map_of = lambda name: F.pmod(F.hash(name), F.lit(n))
+    there = F.when(F.col("_name").isNotNull(), F.struct("_name", "_v"))
+    rows = (cell.repartition(*keys) if keys else cell).groupBy(*keys).agg(F.collect_list(there).alias("_cells"))
+    dealt = lambda m: F.map_from_entries(F.filter("_cells", lambda x: map_of(x["_name"]) == m))
+    maps = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), dealt)
+    # behind a generator the maps are made once, however many columns look into them
+    rows = rows.select(*keys, F.explode(F.array(maps)).alias("_maps"))
+    wanted = [F.lit(v).cast(kind) for v in values]
+    found = [F.try_element_at(F.get("_maps", map_of(v)), v).alias(name) for v, name in zip(wanted, names)]
+    return rows.select(*[F.col(k).alias(c) for k, c in zip(keys, ids)], *found)
 
 
 def _settled(ids, names_from: str, name, value: Column, on_duplicate: str) -> Column:
