@@ -357,7 +357,7 @@ def _workbooks(rows: DataFrame) -> DataFrame:
 @query(INSTITUTION_SQL)
 def institution_xlsx(spark, sf_dir):
     """Every customer as a workbook; the segment without the column stays without it."""
-    customers = table(spark, sf_dir, "customer")
+    customers = spread(table(spark, sf_dir, "customer"), "c_custkey", "c_name")
     cnpj, uf = _institution_cells()
     short = F.col("c_mktsegment") == "BUILDING"
     books = customers.select(
