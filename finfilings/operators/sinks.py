@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -15,6 +16,9 @@ from finfilings.operators.reshape import distinct_values, pivot_wide
 from finfilings.session import settle
 
 
+CONCURRENT = "spark.sql.maxConcurrentOutputFileWriters"
+
+
 class Staged:
     """Folders that take the place of earlier ones together, once all of them are written.
 
@@ -61,9 +65,28 @@ def by_partition(df: DataFrame, keys) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
+#: So many files a task keeps open before it sorts the rest of its rows by partition.
+OPEN_FILES = 16
+
+
+@contextmanager
+def unsorted(spark):
+    """Partitioned writes whose tasks keep a file open for each of a few partitions, so that
+    they need not sort, and hold, what a hot partition gave them.  A session that has its own
+    setting keeps it."""
+    before = spark.conf.get(CONCURRENT, "0")
+    if int(before) <= 0:
+        spark.conf.set(CONCURRENT, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(CONCURRENT, before)
+
+
 def write_long(df: DataFrame, out_dir: str, mode: str = "overwrite", by=("documento", "inst_type")) -> str:
     """The long table as Parquet, partitioned for later pruning."""
-    by_partition(df, by).write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*by).parquet(out_dir)
+    with unsorted(df.sparkSession):
+        by_partition(df, by).write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*by).parquet(out_dir)
     return out_dir
 
 
@@ -136,7 +159,8 @@ def land(df: DataFrame, out_dir: str, by, overwrite: bool = False) -> DataFrame:
     )
     rows = df if overwrite else df.join(there, same, "left_anti")
     writer = by_partition(rows, keys).write.mode("overwrite" if overwrite else "append").partitionBy(*keys)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(out_dir)
+    with unsorted(spark):
+        writer.option("partitionOverwriteMode", "dynamic").parquet(out_dir)
     return report
 
 
