@@ -461,20 +461,22 @@ def _zipped(rows: DataFrame) -> DataFrame:
         import io
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
 
         for batch in batches:
-            out = []
-            for name, text, lang, damaged in zip(batch["file_name"], batch["text"], batch["lang"], batch["damaged"]):
-                data = io.BytesIO()
-                with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as bundle:
-                    bundle.writestr("text.txt", text.encode())
-                    bundle.writestr("meta/lang.txt", lang.encode())
-                content = data.getvalue()
-                out.append((name, content[: len(content) // 2] if damaged else content))
-            yield pd.DataFrame(out, columns=["file_name", "content"])
-
-    return rows.mapInPandas(write, "file_name string, content binary")
+            for begin in range(0, batch.num_rows, 256):  # of a batch, a few archives at a time
+                out = []
+                for row in batch.slice(begin, 256).to_pylist():
+                    data = io.BytesIO()
+                    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as bundle:
+                        bundle.writestr("text.txt", row["text"].encode())
+                        bundle.writestr("meta/lang.txt", row["lang"].encode())
+                    content = data.getvalue()
+                    out.append((row["file_name"], content[: len(content) // 2] if row["damaged"] else content))
+                names, contents = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(contents, pa.binary())], names=["file_name", "content"])
+
+    return rows.mapInArrow(write, "file_name string, content binary")
 
 
 def _document_archives(spark, sf_dir):

@@ -16,6 +16,35 @@ MEMBERS = "archive string, member string, content binary, error string"
 LINES = "archive string, file_name string, pos bigint, raw binary, error string"
 
 
+def _payloads(batches, rows: int = 16):
+    """Name and content of each payload; only a few rows of a batch at a time are Python objects."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            part = batch.slice(begin, rows)
+            yield from zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+
+
+def _batch(rows, schema: str):
+    """Rows as an Arrow batch of a schema as Spark writes it."""
+    import pyarrow as pa
+
+    kinds = {"string": pa.string(), "binary": pa.binary(), "bigint": pa.int64()}
+    fields = [c.split() for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(zip(*rows), fields)], names=[name for name, _ in fields])
+
+
+def _released():
+    """Gives what a worker has freed back to the machine: it lives on with its peak else."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def list_members(payloads: DataFrame) -> DataFrame:
     """Names and unpacked sizes of the members from the archives' directories; nothing is
     inflated.  What is no archive is a row with an error."""
@@ -53,29 +82,27 @@ def expand_archives(
         import io
         import zipfile
 
-        import pandas as pd
-
-        columns = ["archive", "member", "content", "error"]
         rows, held = [], 0
-        for batch in batches:
-            for archive, content in zip(batch["file_name"], batch["content"]):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as bundle:
-                        for info in bundle.infolist():
-                            if info.is_dir() or (max_member_bytes is not None and info.file_size > max_member_bytes):
-                                continue
-                            data = bundle.read(info)
-                            rows.append((archive, info.filename, data, None))
-                            held += len(data)
-                            if held >= batch_bytes:
-                                yield pd.DataFrame(rows, columns=columns)
-                                rows, held = [], 0
-                except Exception as problem:
-                    rows.append((archive, None, None, f"{type(problem).__name__}: {problem}"))
+        for archive, content in _payloads(batches):
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as bundle:
+                    for info in bundle.infolist():
+                        if info.is_dir() or (max_member_bytes is not None and info.file_size > max_member_bytes):
+                            continue
+                        data = bundle.read(info)
+                        rows.append((archive, info.filename, data, None))
+                        held += len(data)
+                        if held >= batch_bytes:
+                            yield _batch(rows, MEMBERS)
+                            rows, held = [], 0
+            except Exception as problem:
+                rows.append((archive, None, None, f"{type(problem).__name__}: {problem}"))
         if rows:
-            yield pd.DataFrame(rows, columns=columns)
+            yield _batch(rows, MEMBERS)
+        del rows
+        _released()
 
-    return payloads.select("file_name", "content").mapInPandas(members, MEMBERS)
+    return payloads.select("file_name", "content").mapInArrow(members, MEMBERS)
 
 
 def index_archives(payloads: DataFrame, chunk: int = 1 << 20) -> DataFrame:
@@ -110,7 +137,7 @@ def index_archives(payloads: DataFrame, chunk: int = 1 << 20) -> DataFrame:
 
 
 def expand_archive_lines(
-    payloads: DataFrame, rows_per_batch: int = 20_000, above_member_bytes: int | None = None
+    payloads: DataFrame, rows_per_batch: int = 20_000, above_member_bytes: int | None = None, batch_bytes: int = 8 * 1024 * 1024
 ) -> DataFrame:
     """Lines of every member above the given unpacked size, inflated as a stream: a member of any size passes
     through in batches instead of becoming one row."""
@@ -119,29 +146,28 @@ def expand_archive_lines(
         import io
         import zipfile
 
-        import pandas as pd
-
-        columns = ["archive", "file_name", "pos", "raw", "error"]
-        rows = []
-        for batch in batches:
-            for archive, content in zip(batch["file_name"], batch["content"]):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as bundle:
-                        for info in bundle.infolist():
-                            if info.is_dir() or (above_member_bytes is not None and info.file_size <= above_member_bytes):
-                                continue
-                            with bundle.open(info) as stream:
-                                for pos, raw in enumerate(stream):
-                                    rows.append((archive, info.filename, pos, raw.rstrip(b"\r\n"), None))
-                                    if len(rows) >= rows_per_batch:
-                                        yield pd.DataFrame(rows, columns=columns)
-                                        rows = []
-                except Exception as problem:
-                    rows.append((archive, None, None, None, f"{type(problem).__name__}: {problem}"))
+        rows, held = [], 0
+        for archive, content in _payloads(batches):
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as bundle:
+                    for info in bundle.infolist():
+                        if info.is_dir() or (above_member_bytes is not None and info.file_size <= above_member_bytes):
+                            continue
+                        with bundle.open(info) as stream:
+                            for pos, raw in enumerate(stream):
+                                rows.append((archive, info.filename, pos, raw.rstrip(b"\r\n"), None))
+                                held += len(raw)
+                                if len(rows) >= rows_per_batch or held >= batch_bytes:
+                                    yield _batch(rows, LINES)
+                                    rows, held = [], 0
+            except Exception as problem:
+                rows.append((archive, None, None, None, f"{type(problem).__name__}: {problem}"))
         if rows:
-            yield pd.DataFrame(rows, columns=columns)
+            yield _batch(rows, LINES)
+        del rows
+        _released()
 
-    return payloads.select("file_name", "content").mapInPandas(lines, LINES)
+    return payloads.select("file_name", "content").mapInArrow(lines, LINES)
 
 
 def usable_members(members: DataFrame) -> DataFrame:
