@@ -19,6 +19,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from finfilings.session import settle, small_side, stored
+
 BLANK = r"[ \t]*+"
 #: From inside a quoted cell up to the first quote that is not doubled.
 INSIDE = r'[^"]*+(?:""[^"]*+)*+'
@@ -49,8 +51,11 @@ def _ends_inside(record: Column, sep: Column | str) -> Column:
     return _by_sep(sep, of)
 
 
-#: A quote that might begin a cell, and no single quote after it: few lines pass, whatever the separator.
-LEFT_OPEN = rf'(?:^|[{"".join(SEPARATORS)}]){BLANK}"{INSIDE}\z'
+#: A quote that might begin a cell, and no single quote after it: few lines pass, whatever the
+#: separator.  The quote stands first, so that the engine passes over all else at once.
+LEFT_OPEN = rf'"(?<=(?:^|[{"".join(SEPARATORS)} \t])"){INSIDE}\z'
+#: The same for any line of a text.
+SOME_LEFT_OPEN = rf'"(?<=(?:^|[{"".join(SEPARATORS)} \t\n])")[^"\n]*+(?:""[^"\n]*+)*+(?=\n|\z)'
 
 
 def opens(line: Column, sep: Column | str) -> Column:
@@ -105,8 +110,11 @@ def _behaviour(line: Column, sep: Column | str) -> Column:
     rest = _by_sep_text(line, sep)
     quoted, closed, ended = line.contains('"'), closes(line, sep), line.rlike(rf'^{INSIDE}"')
     out, again = opens(line, sep), closed & opens(rest, sep)
-    into = F.when(~quoted, True).when(closed, again).when(~ended, True).otherwise(out)
-    return F.struct(out.cast("int").alias("out"), into.cast("int").alias("into"), (quoted & ended).alias("ends"), (quoted & closed).alias("closes"), again.alias("again"))
+    into = F.when(closed, again).when(~ended, True).otherwise(out)
+    # a line without quotes is not looked at further
+    plain = F.struct(F.lit(0).alias("out"), F.lit(1).alias("into"), *[F.lit(False).alias(c) for c in ("ends", "closes", "again")])
+    return F.when(~quoted, plain).otherwise(
+        F.struct(out.cast("int").alias("out"), into.cast("int").alias("into"), ended.alias("ends"), closed.alias("closes"), again.alias("again")))
 
 
 def _by_sep_text(line: Column, sep: Column | str) -> Column:
@@ -128,7 +136,8 @@ def join_records(lines: DataFrame, sep: Column | str) -> DataFrame:
     plus ``broken``, the reason why a record cannot be read, or null.
 
     ``pos`` orders the lines of a file: a number, or (split, row).  The other columns are
-    those of the record's first line.
+    those of the record's first line.  How each line behaves is found once and stored with
+    the line, as are the lines of records of several.
     """
     columns = lines.columns
     struct = lines.schema["pos"].dataType.typeName() == "struct"
@@ -147,6 +156,7 @@ def join_records(lines: DataFrame, sep: Column | str) -> DataFrame:
     fixed = F.when(F.col("_b.out") == F.col("_b.into"), F.struct("_row", F.col("_b.out").alias("v"), "_k"))
     rows = rows.select("*", F.max(fixed).over(before).alias("_fixed"), F.coalesce(F.lag("_k").over(piece), F.lit(0)).alias("_kb"), fixed.alias("_own"),
                        F.last(F.when(F.col("_b.ends"), F.col("_b.closes")), ignorenulls=True).over(behind).alias("_next"))
+    rows = stored(rows)
 
     pieces = rows.groupBy("file_name", "_split").agg(
         F.max("_own").alias("own"), F.max("_k").alias("k"), F.min(F.when(F.col("_b.ends"), F.struct("_row", "_b.closes"))).alias("ends"))
@@ -161,7 +171,7 @@ def join_records(lines: DataFrame, sep: Column | str) -> DataFrame:
     pieces = pieces.select("file_name", "_split", known.alias("known"), sofar.alias("sofar"), later.alias("_later")).select(
         "file_name", "_split", F.when(F.col("known").isNull(), _odd(F.col("sofar"))).otherwise(_odd(F.col("known.v") + F.col("sofar") - F.col("known.p"))).alias("_entry"), "_later")
 
-    rows = rows.join(pieces, ["file_name", "_split"])
+    rows = rows.join(small_side(settle(pieces)), ["file_name", "_split"])
     inside = F.when(F.col("_fixed").isNull(), _odd(F.col("_entry") + F.col("_kb"))).otherwise(_odd(F.col("_fixed.v") + F.col("_kb") - F.col("_fixed._k"))) == 1
     rows = rows.select("*", inside.alias("_inside"), F.coalesce("_next", "_later", F.lit(False)).alias("_closed"))
     goes_on = F.col("_inside") & F.when(F.col("_b.ends"), F.col("_b.closes")).otherwise(F.col("_closed"))
@@ -177,7 +187,7 @@ def join_records(lines: DataFrame, sep: Column | str) -> DataFrame:
     many = rows.where("_many")
     begun = many.groupBy("file_name", "_split").agg(F.sum("_start").alias("n"))
     begun = begun.select("file_name", "_split", F.coalesce(F.sum("n").over(files.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    many = many.join(begun, ["file_name", "_split"]).withColumn("_record", F.col("_before") + F.sum("_start").over(upto))
+    many = stored(many.join(small_side(settle(begun)), ["file_name", "_split"]).withColumn("_record", F.col("_before") + F.sum("_start").over(upto)))
     sizes = many.groupBy("file_name", "_record").agg(F.count("*").alias("_n"), F.max("_unclosed").alias("_spoilt"))
     many = many.join(sizes, ["file_name", "_record"])
     # of a record with too many lines the first one stands for all
