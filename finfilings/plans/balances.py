@@ -74,9 +74,11 @@ def type_rows(rows: DataFrame, keep=("reason", "record")) -> DataFrame:
     )
 
 
-def balances_from_payloads(payloads: DataFrame, tagged: bool = False) -> DataFrame:
-    """Long balances from one-row-per-file payloads; also runs on a stream."""
-    return type_rows(parse_payloads(payloads, BALANCES, COLUMNS, _per_file(), tagged=tagged))
+def balances_from_payloads(payloads: DataFrame, tagged: bool = False, document: int | None = None) -> DataFrame:
+    """Long balances from one-row-per-file payloads; also runs on a stream.  ``document``:
+    see :func:`balances_from_lines`."""
+    rows = type_rows(parse_payloads(payloads, BALANCES, COLUMNS, _per_file(), tagged=tagged, holding=_holding(document)))
+    return _of_document(rows, document)
 
 
 def balances_from_lines(
@@ -84,11 +86,15 @@ def balances_from_lines(
 ) -> DataFrame:
     """Long balances from a line table.  With a document number, lines that do not even
     contain its digits are passed over before they are split."""
-    holding = None if document is None else str(document)
-    rows = type_rows(parse_lines(lines, BALANCES, COLUMNS, headers, _per_file(), holding, tagged=tagged))
+    rows = type_rows(parse_lines(lines, BALANCES, COLUMNS, headers, _per_file(), _holding(document), tagged=tagged))
     return _of_document(rows, document)
 
 
+def _holding(document: int | None) -> str | None:
+    """What a line of the document is known to contain."""
+    return None if document is None else str(document)
+
+
 def _of_document(rows: DataFrame, document: int | None) -> DataFrame:
     """Rows of a document, and whatever cannot be read."""
     if document is None:
@@ -162,7 +168,7 @@ def _imported(spark, path, whole_file_bytes, document, tagged, archives=None) ->
     sources = balance_sources(spark, path, archives[0])
     out = None
     for payloads in _small_payloads(spark, path, whole_file_bytes, sources, archives[1]):
-        rows = _of_document(balances_from_payloads(payloads, tagged), document)
+        rows = balances_from_payloads(payloads, tagged, document)
         out = rows if out is None else out.unionByName(rows)
     for lines in _large_sources(spark, path, whole_file_bytes, sources, archives[2]):
         rows = balances_from_lines(lines, document, tagged=tagged)

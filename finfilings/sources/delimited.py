@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from finfilings.functions.names import clean_name, unique_names
 from finfilings.functions.values import decode_bytes, null_text
 from finfilings.session import BROADCAST_BYTES, settle, small_side, stored
-from finfilings.sources.records import broken_record, join_records, may_open, opens, split_records
+from finfilings.sources.records import SOME_LEFT_OPEN, broken_record, join_records, may_open, opens, split_records
 
 
 @dataclass(frozen=True)
@@ -180,16 +180,16 @@ def find_headers(lines: DataFrame, layout: Layout) -> DataFrame:
 def payload_headers(payloads: DataFrame, layout: Layout) -> DataFrame:
     """Add the header line to one-row-per-file payloads; files without one drop out.
 
-    The regex engine walks the text once for candidate lines; the generator keeps
-    Catalyst from evaluating the search again for each later use.
+    The regex engine walks the text up to the first candidate line, and on to the others
+    only if that one is no header; the generators keep Catalyst from evaluating a search
+    again for each later use.
     """
     lookaheads = "".join(rf"(?=[^\n]*{re.escape(w)})" for w in layout.words)
-    texts = payloads.select("file_name", _text(layout.charset).alias("text"))
-    candidates = F.regexp_extract_all("text", F.lit(rf"(?im)^{lookaheads}[^\n]*"), F.lit(0))
-    hits = F.filter(candidates, lambda line: is_header(line, layout))
-    return with_layout(
-        texts.select("file_name", "text", F.explode(F.slice(hits, 1, 1)).alias("header")), layout
-    )
+    pattern = F.lit(rf"(?im)^{lookaheads}[^\n]*")
+    texts = once(payloads.select("file_name", _text(layout.charset).alias("text")), F.regexp_substr("text", pattern), "candidate")
+    others = F.slice(F.filter(F.regexp_extract_all("text", pattern, F.lit(0)), lambda line: is_header(line, layout)), 1, 1)
+    hit = F.when(is_header(F.col("candidate"), layout), F.array("candidate")).when(F.col("candidate").isNotNull(), others)
+    return with_layout(texts.select("file_name", "text", F.explode(hit).alias("header")), layout)
 
 
 def _text(charset: str) -> Column:
@@ -205,7 +205,7 @@ def _body_lines(df: DataFrame, sep: str | None) -> DataFrame:
     keep = [c for c in df.columns if c not in ("text", "header")]
     sep = sep or F.col("sep")
     body = once(df.select(*keep, F.substr(F.col("text"), start).alias("text")), F.col("text"), "body")
-    odd = F.contains("body", F.lit('"')) & F.exists(F.split("body", "\n"), lambda line: opens(line, sep))
+    odd = F.col("body").rlike(SOME_LEFT_OPEN) & F.exists(F.split("body", "\n"), lambda line: opens(line, sep))
     body = once(body, odd, "odd")
     lines = F.when(F.col("odd"), split_records(F.col("body"), sep)).otherwise(F.split("body", "\n"))
     rows = body.select(*keep, "odd", F.explode(lines).alias("line"))
@@ -263,18 +263,21 @@ def _whole_files(heads: DataFrame, per_file) -> DataFrame:
 
 def parse_payloads(
     payloads: DataFrame, layout: Layout, columns: dict[str, str], per_file: dict[str, Column] | None = None,
-    strict: bool = False, tagged: bool = False,
+    strict: bool = False, tagged: bool = False, holding: str | None = None,
 ) -> DataFrame:
     """Rows of one-row-per-file payloads, as text columns.
 
     ``columns`` maps output names to header names (upper case, after renaming);
-    ``per_file`` adds columns computed from ``file_name`` once per file.  ``strict`` and
-    ``tagged``: see :func:`_read_cells`.
+    ``per_file`` adds columns computed from ``file_name`` once per file.  ``holding``: see
+    :func:`parse_lines`; ``strict`` and ``tagged``: see :func:`_read_cells`.
     """
     per_file = per_file or {}
     heads = _whole_files(payload_headers(payloads, layout), per_file)
     heads = heads.select("file_name", *per_file, "text", "header", "sep", F.size("names").alias("width"), _positions(columns).alias("at"))
-    return _read_cells(_body_lines(heads, layout.sep), per_file, _by_position(columns), layout.sep, strict, tagged)
+    body = _body_lines(heads, layout.sep)
+    if holding:  # what is broken may have held it
+        body = body.where(F.col("line").contains(holding) | F.col("broken").isNotNull())
+    return _read_cells(body, per_file, _by_position(columns), layout.sep, strict, tagged)
 
 
 def parse_lines(
