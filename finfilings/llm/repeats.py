@@ -27,15 +27,15 @@ MARKS = 27
 Unit = tuple[bytes, int, int, int]
 
 
-def runs(units: list[Unit], least_units: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+def runs(units: list[Unit], least_units: int, least_words: int, placed: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
     """Hashes (two 64-bit numbers) and cuts (start, end) of the shortest runs from each unit
-    on that have ``least_units`` units and ``least_words`` words."""
+    on that have ``least_units`` units and ``least_words`` words; no cuts unless ``placed``."""
     n = len(units)
     packed = b"".join([xxhash.xxh3_64_digest(u[0]) for u in units])
     words = [0]
     for u in units:
         words.append(words[-1] + u[1])
-    hashes, cuts, end = [], [], 0
+    hashes, ends, end = [], [], 0
     for i in range(n):
         end = max(end, i + least_units)
         while end <= n and words[end] - words[i] < least_words:
@@ -43,8 +43,14 @@ def runs(units: list[Unit], least_units: int, least_words: int) -> tuple[np.ndar
         if end > n:
             break
         hashes.append(xxhash.xxh3_128_digest(packed[8 * i:8 * end]))
-        cuts.append((units[i][2], units[end - 1][3]))
-    return np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2), np.array(cuts, np.int64).reshape(-1, 2)
+        ends.append(end)
+    found = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
+    if not placed:
+        return found, None
+    cuts = np.empty((len(ends), 2), np.int64)
+    cuts[:, 0] = [u[2] for u in units[:len(ends)]]
+    cuts[:, 1] = [units[end - 1][3] for end in ends]
+    return found, cuts
 
 
 def _merge(batches):
@@ -65,7 +71,8 @@ def _merge(batches):
 
 
 def cut_repeats(documents: DataFrame, units: Callable[[str], list[Unit]], least_units: int, least_words: int = 0,
-                text: str = "text", doc_id: str = "doc_id", separated: bool = False) -> DataFrame:
+                text: str = "text", doc_id: str = "doc_id", separated: bool = False,
+                unplaced: Callable[[str], list[Unit]] | None = None) -> DataFrame:
     """``documents`` with the text without repeated runs, plus ``cuts`` and ``first_ids``.
 
     ``cuts`` are the merged stretches cut from the original text (code points, end
@@ -73,14 +80,16 @@ def cut_repeats(documents: DataFrame, units: Callable[[str], list[Unit]], least_
     occurrences.  Which occurrence is first goes by doc_id, null before all others, then by
     position.  Rows equal in id and text are one document: all keep, or lose, the same.
     ``separated``: a cut that reaches the end takes the line break before it as well.
+    ``unplaced`` gives the same units without their code points, for the counting.
     """
+    counted = unplaced or units
     key, columns = F.xxhash64(F.col(doc_id), F.col(text)), documents.columns
     keyed = documents.select(F.col(doc_id).alias("id"), key.alias("key"), whole_text(text).alias("body")).where("body <> ''")
 
     def hashes_only(batches):
         for batch in batches:
             for body in texts_of(batch.column("body")):
-                found = runs(units(body), least_units, least_words)[0]
+                found = runs(counted(body), least_units, least_words, False)[0]
                 if len(found):
                     yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy())], names=["h"])
 

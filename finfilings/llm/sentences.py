@@ -37,6 +37,23 @@ class _Cuts(dict):
 _CUTS = _Cuts()
 
 
+def contents(text: str) -> list[Unit]:
+    """The units of :func:`sentences` without their places."""
+    out: list[Unit] = []
+    for sentence in _SENTENCE.findall(text):
+        body = sentence.lower().split()
+        if not body:
+            continue
+        begun = 0
+        if len(body) > LONG:
+            for k in range(len(body) - 1):
+                if _CUTS[body[k]]:
+                    out.append((" ".join(body[begun:k + 1]).encode("utf-8", "surrogatepass"), k + 1 - begun, 0, 0))
+                    begun = k + 1
+        out.append((" ".join(body[begun:]).encode("utf-8", "surrogatepass"), len(body) - begun, 0, 0))
+    return out
+
+
 def sentences(text: str) -> list[Unit]:
     """Sentences end with ``.``, ``!``, ``?`` or a line; compared in lower case, blanks squeezed."""
     out: list[Unit] = []
@@ -69,7 +86,7 @@ def dedup_sentences(documents: DataFrame, text: str = "text", doc_id: str = "doc
     and text count as one document.  A text may lose all its sentences.  Extra columns pass
     through; ``cuts`` and ``first_ids`` are replaced.
     """
-    return cut_repeats(documents, sentences, SENTENCES, WORDS, text=text, doc_id=doc_id)
+    return cut_repeats(documents, sentences, SENTENCES, WORDS, text=text, doc_id=doc_id, unplaced=contents)
 
 
 @query("op6_substring_dedup")
