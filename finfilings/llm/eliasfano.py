@@ -1,15 +1,18 @@
 """Elias-Fano lists: rising numbers in about 2 + log2(universe / n) bits each.
 
 The high bits of the numbers are a bit vector (a one for each number, a zero for each step
-of the high part), the low bits are packed.  Access selects ones, successor search selects
-zeros; both work on whole arrays of queries, straight out of a buffer such as a mapped file.
+of the high part), the low bits are packed.  Access selects ones, successor search reads on
+through the list; both work on whole arrays of queries, straight out of a buffer such as a
+mapped file.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-_SLICE = 1 << 16
+_SLICE = 1 << 15
+#: Numbers that a successor search decodes at a time.
+_PART = 1 << 14
 _ONE = np.uint64(1)
 
 
@@ -19,10 +22,11 @@ def encode(values: np.ndarray) -> bytes:
     n = len(values)
     most = int(values[-1]) if n else 0
     low = max(0, min(56, (most // max(n, 1)).bit_length() - 1))
-    place = (values >> np.uint64(low)) + np.arange(n, dtype=np.uint64)
-    bits = n + (most >> low) + 1
-    high = np.zeros(-(-bits // 64), np.uint64)
-    np.bitwise_or.at(high, (place >> np.uint64(6)).astype(np.int64), _ONE << (place & np.uint64(63)))
+    high = np.zeros(-(-(n + (most >> low) + 1) // 64), np.uint64)
+    for at in range(0, n, _SLICE):
+        part = values[at:at + _SLICE]
+        place = (part >> np.uint64(low)) + np.arange(at, at + len(part), dtype=np.uint64)
+        np.bitwise_or.at(high, (place >> np.uint64(6)).astype(np.int64), _ONE << (place & np.uint64(63)))
     before = np.concatenate([[0], np.cumsum(np.bitwise_count(high).astype(np.int64))])
     packed = []
     for at in range(0, n if low else 0, _SLICE):  # a slice fills whole bytes but for the last
@@ -54,7 +58,6 @@ class EliasFano:
         offset += 32
         self.high = np.frombuffer(buffer, "<u8", words, offset)
         self.ones = np.frombuffer(buffer, "<i8", words + 1, offset + 8 * words)
-        self.zeros = 64 * np.arange(words + 1) - self.ones
         offset += 16 * words + 8
         # an unaligned 64-bit number at every byte
         self.lows = np.ndarray((lows - 7,), "<u8", buffer, offset, (1,))
@@ -73,35 +76,35 @@ class EliasFano:
         high = 64 * word + _nth_one(self.high[word], i - self.ones[word]) - i
         return ((high.astype(np.uint64) << np.uint64(self.low)) | self._low(i)).astype(np.int64)
 
-    def _smaller(self, high: np.ndarray) -> np.ndarray:
-        """How many numbers have a high part below ``high``."""
-        out = np.zeros(len(high), np.int64)
-        some = np.flatnonzero(high > 0)
-        nth = high[some] - 1
-        word = np.searchsorted(self.zeros, nth, "right") - 1
-        # beyond the last step every number is smaller
-        last = nth >= self.zeros[-1]
-        word = np.minimum(word, len(self.high) - 1)
-        at = 64 * word + _nth_one(~self.high[word], nth - self.zeros[word]) - nth
-        out[some] = np.where(last, self.n, np.minimum(at, self.n))
-        return out
+    def part(self, begin: int, end: int) -> np.ndarray:
+        """The numbers at the places from ``begin`` to before ``end``, read in one go."""
+        first, last = np.searchsorted(self.ones, [begin, end - 1], "right") - 1
+        bits = np.unpackbits(self.high[first:last + 1].view(np.uint8), bitorder="little")
+        skip = begin - int(self.ones[first])
+        at = np.arange(begin, end)
+        high = 64 * first + np.flatnonzero(bits)[skip:skip + end - begin] - at
+        return (high << self.low) | self._low(at).astype(np.int64)
 
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of the first number that is ``x`` or more (n if none), and whether it is x."""
+        """Place of the first number that is ``x`` or more (n if none), and whether it is x.
+
+        The questions go in rising order over the list, of which only parts are decoded that
+        have one: no question searches bits by itself.
+        """
         x = np.asarray(x, np.int64)
-        if not self.n:
-            return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
-        high = x >> self.low
-        begin, end = self._smaller(high), self._smaller(high + 1)
-        wanted = x.astype(np.uint64) & np.uint64((1 << self.low) - 1)
-        first, last = begin.copy(), end.copy()
-        open_ = np.flatnonzero(first < last)
-        while len(open_):
-            middle = (first[open_] + last[open_]) >> 1
-            less = self._low(middle) < wanted[open_]
-            first[open_[less]] = middle[less] + 1
-            last[open_[~less]] = middle[~less]
-            open_ = open_[first[open_] < last[open_]]
-        found = first < end
-        found[found] = self._low(first[found]) == wanted[found]
-        return first, found
+        place, found = np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+        if not self.n or not len(x):
+            return place, found
+        order = np.argsort(x, kind="stable")
+        x = x[order]
+        starts = np.arange(0, self.n, _PART)
+        # a number above a part's first one, up to the next part's, has its successor there or at that
+        own = np.maximum(np.searchsorted(self[starts], x) - 1, 0)
+        cuts = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(x))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            begin = int(starts[own[a]])
+            numbers = self.part(begin, min(begin + _PART + 1, self.n))
+            i = np.searchsorted(numbers, x[a:b])
+            place[order[a:b]] = begin + i
+            found[order[a:b]] = (i < len(numbers)) & (numbers[np.minimum(i, len(numbers) - 1)] == x[a:b])
+        return place, found

@@ -45,6 +45,8 @@ from finfilings.llm.registry import query
 
 #: Tokens of a block, and of a shard.
 BLOCK, SHARD = 3 << 18, 3 << 19
+#: Trigrams that a trie is asked for at a time: blocks' rows together, so that it is read through seldom.
+LOOK = 1 << 18
 #: Taken off each count of two or three words.
 DISCOUNT = 0.75
 #: Steps of a stored logarithm in a power of ten.
@@ -336,6 +338,8 @@ def _deal_trigrams(shards: int, often: dict[int, int], total: int, id_type: pa.D
             del key, begin, middle, before, word, own_counts, shard, order, places, seen, d
             for k in range(0, len(rows), 16):
                 yield _batch(rows[k:k + 16], id_type)
+            del rows
+        released()
 
     return run
 
@@ -413,28 +417,38 @@ def build(counted: list[np.ndarray], followers=None, discount: float = DISCOUNT)
     del j
     count = np.bincount(at, weights=seen).astype(np.int64) if len(at) else np.empty(0, np.int64)
     del at, seen
-    own = own.astype(np.int64)
-    j, last = trigram // top, trigram % top
-    head = contexts // top
-    pairs = np.column_stack([own[head[j]], last, count]) if len(j) else np.empty((0, 3), np.int64)
+    own, top = own.astype(np.int64), np.int64(top)
+    j, last = _narrow(trigram // top), _narrow(trigram % top)
+    del trigram
+    head = _narrow(contexts // top)
+    names = np.union1d(own, followers[0]) if followers else own
+    host = np.searchsorted(names, own)  # of the trigrams' middle words among all
+    contexts = encode(host[head] * top + contexts % top)
+    key = host[head[j]] * top + last
+    del head, last
+    distinct = np.bincount(j)
+    sums = np.bincount(j, weights=count)
+    weight3, own3 = quantised(discount * distinct / sums), quantised((count - discount) / sums[j])
+    del distinct, sums
+    pair, times = key, count
     if followers:
-        partial = np.isin(pairs[:, 0], np.unique(followers[0]))
-        pairs = np.concatenate([pairs[~partial], np.column_stack(followers)])
-    names = np.unique(pairs[:, 0])
-    k = np.searchsorted(names, pairs[:, 0])
-    bigram, at = np.unique(k * top + pairs[:, 1], return_inverse=True)
-    both = np.bincount(at, weights=pairs[:, 2]).astype(np.int64) if len(at) else np.empty(0, np.int64)
+        whole = ~np.isin(key // top, np.searchsorted(names, np.unique(followers[0])))
+        pair, times = (np.concatenate(x) for x in ((key[whole], np.searchsorted(names, followers[0]) * top + followers[1]), (count[whole], followers[2])))
+    del count
+    bigram = np.sort(pair)
+    bigram = bigram[_cuts(bigram)[0]]
+    both = np.bincount(np.searchsorted(bigram, pair), weights=times, minlength=len(bigram)).astype(np.int64)
+    del pair, times
     parent = bigram // top
     totals, kinds = np.bincount(parent, weights=both, minlength=len(names)), np.bincount(parent, minlength=len(names))
-    sums, distinct = np.bincount(j, weights=count, minlength=len(contexts)), np.bincount(j, minlength=len(contexts))
-    begins = np.cumsum(kinds) - kinds
-    host = np.searchsorted(names, own)  # of the trigrams' middle words among all
-    place = np.searchsorted(bigram, host[head[j]] * top + last) - begins[host[head[j]]]
-    wide = 1 + int(kinds.max(initial=0))
-    lists = [encode(x) for x in (names, begins, bigram, host[head] * top + contexts % top, j * wide + place)]
-    tables = [quantised(x) for x in (
-        discount * kinds / np.maximum(totals, 1), (both - discount) / totals[parent], discount * distinct / np.maximum(sums, 1), (count - discount) / sums[j])]
-    out = [np.array([top, wide, *map(len, tables)], "<u8").tobytes(), *lists]
+    weight2, own2 = quantised(discount * kinds / np.maximum(totals, 1)), quantised((both - discount) / totals[parent])
+    del parent, both, totals
+    begins, wide = np.cumsum(kinds) - kinds, 1 + int(kinds.max(initial=0))
+    place = np.searchsorted(bigram, key) - begins[key // top]
+    del key
+    names, begins, bigram, trigram = encode(names), encode(begins), encode(bigram), encode(j * np.int64(wide) + place)
+    tables = weight2, own2, weight3, own3
+    out = [np.array([top, wide, *map(len, tables)], "<u8").tobytes(), names, begins, bigram, contexts, trigram]
     for x in tables:
         out.append(x.tobytes() + b"\0" * (-2 * len(x) % 8))
     return b"".join(out)
@@ -527,14 +541,27 @@ def _answer(total: int, discount: float, id_type: pa.DataType):
         del followers
         trie = Trie(mapped(levels))
         del levels
-        out = []
+        out, asked = [], []
+
+        def answer():
+            p = trie.probability(*(np.concatenate(x) for x in zip(*(x for _, x in asked))))
+            end = np.cumsum([len(x[0]) for _, x in asked])
+            for (k, _), own in zip(asked, np.split(p, end[:-1])):
+                sums = np.bincount(cell("docs", k), weights=np.repeat(np.log10(own), cell("places", k)))
+                some = np.flatnonzero(sums)
+                out.append({"block": group.column("block")[k].as_py(), "docs": packed(some), "score": sums[some].tobytes()})
+            asked.clear()
+
         for k in map(int, rows):
             word = cell("word", k)
             _, at = np.unique(word, return_inverse=True)
-            p = trie.probability(cell("middle", k), cell("before", k), word, (cell("counts", k)[at] + 1) / total)
-            sums = np.bincount(cell("docs", k), weights=np.repeat(np.log10(p), cell("places", k)))
-            some = np.flatnonzero(sums)
-            out.append({"block": group.column("block")[k].as_py(), "docs": packed(some), "score": sums[some].tobytes()})
+            asked.append((k, (cell("middle", k), cell("before", k), word, (cell("counts", k)[at] + 1) / total)))
+            if sum(len(x[0]) for _, x in asked) >= LOOK:
+                answer()
+        if asked:
+            answer()
+        del trie
+        released()
         heads = group.filter(pa.array(is_head)).drop(["shard", *(c for c in _CELLS[:7])])
         names = ["block", "docs", "score"]
         scores = pa.Table.from_arrays([pa.array([r[c] for r in out], t) for c, t in zip(names, (pa.int64(), pa.binary(), pa.binary()))], names=names)

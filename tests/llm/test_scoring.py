@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from finfilings.llm import scoring
+from finfilings.llm import eliasfano, scoring
 from finfilings.llm.eliasfano import EliasFano, encode
 
 DOCS = "doc_id long, text string, learn boolean"
@@ -29,6 +30,38 @@ def test_lists_give_back_their_numbers_and_successors(numbers, asked, coarse):
     assert found.tolist() == [x in set(values.tolist()) for x in asked.tolist()]
 
 
+@pytest.mark.parametrize("part", [1, 7, 64, 1 << 14])
+def test_successors_over_many_parts_of_a_list(monkeypatch, part):
+    monkeypatch.setattr(eliasfano, "_PART", part)
+    r = np.random.default_rng(part)
+    for values in (np.sort(r.integers(0, 1 << 40, 500)), np.sort(r.integers(0, 60, 500)), np.repeat([3, 1 << 45], 40), np.arange(200)):
+        got = EliasFano(encode(values))
+        asked = r.permutation(np.concatenate([values, values - 1, values + 1, r.integers(0, 1 << 46, 50)]).clip(0))
+        place, found = got.successor(asked)
+        assert (place == np.searchsorted(values, asked)).all()
+        assert (found == np.isin(asked, values)).all()
+
+
+def test_a_list_is_searched_without_rounds_of_halving(monkeypatch):
+    looks = []
+    low = EliasFano._low
+    monkeypatch.setattr(EliasFano, "_low", lambda self, i: looks.append(len(i)) or low(self, i))
+    values = np.sort(np.random.default_rng(5).integers(0, 1 << 40, 4000)) // 1000 * 1000
+    EliasFano(encode(values)).successor(np.tile(values, 10))
+    assert sum(looks) < 2 * len(values)
+
+
+def test_a_trie_is_built_in_little_memory():
+    r = np.random.default_rng(8)
+    n = 300_000
+    counted = [(x ** 3 * 20_000).astype(np.int32) + 2 for x in r.random((3, n))] + [np.ones(n, np.int32)]
+    tracemalloc.start()
+    scoring.build(counted)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * n
+
+
 def plain(docs):
     """The same model over dictionaries, without rounding; rows are (id, text, learn)."""
     def tokens(text):
